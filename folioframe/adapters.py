@@ -79,7 +79,7 @@ SELECT l_orderkey AS fk_books, l_suppkey AS fk_authors, min(l_linenumber) AS hea
        min(CASE WHEN l_linenumber = 1 THEN 'aut' WHEN l_returnflag = 'A' THEN 'edt' WHEN l_returnflag = 'R' THEN 'trl' ELSE 'cre' END) AS marcrel
 FROM {{lineitem}} GROUP BY 1, 2""",
     "v_attributes": """
-SELECT l_orderkey * 10 + l_linenumber AS pk, l_orderkey AS fk_books,
+SELECT DISTINCT l_orderkey * 10 + l_linenumber AS pk, l_orderkey AS fk_books,
        CASE l_linenumber WHEN 1 THEN 245 WHEN 2 THEN 508 WHEN 3 THEN 508 WHEN 4 THEN 520 WHEN 5 THEN 500 WHEN 6 THEN 260 ELSE 906 END AS fk_attriblist,
        CASE WHEN l_linenumber IN (2, 3) AND l_quantity > 40 THEN concat('Updated: ', p_name)
             WHEN l_linenumber = 4 THEN concat(p_name, CASE l_returnflag WHEN 'A' THEN ' (This is an automatically generated summary.)' WHEN 'N' THEN ' (This summary is from Wikipedia.)' ELSE ' (Summary by library staff.)' END)
