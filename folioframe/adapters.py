@@ -121,6 +121,25 @@ SELECT p_partkey AS ebook, p_size % 3 AS rev,
               CASE WHEN p_size % 7 = 0 THEN '' ELSE concat(',"PUBLISHER":"House ', p_brand, '"') END,
               ',"WW":" carl ","CREDIT":"', p_brand, '"}}') AS json
 FROM {{part}}""",
+    "v_submissions": """
+SELECT CAST(floor(p_partkey / 4) AS BIGINT) AS ebook, p_partkey AS seq,
+       concat('/logs/json/', CASE p_partkey % 4 WHEN 0 THEN '' WHEN 3 THEN '' ELSE 'backup/' END, CAST(CAST(floor(p_partkey / 4) AS BIGINT) AS STRING),
+              CASE p_partkey % 4 WHEN 0 THEN CASE WHEN p_size > 25 THEN '.json' ELSE '.draft' END WHEN 1 THEN concat('.json.', CAST(p_size % 10 AS STRING))
+                   WHEN 2 THEN '.json' ELSE CASE WHEN p_size > 40 THEN '.txt' ELSE '.bak' END END) AS path,
+       CASE WHEN p_size % 6 = 0 THEN left(json, 40) WHEN p_partkey % 4 = 3 THEN ' dora ' ELSE json END AS content
+FROM {{part}} JOIN {{v_workflow}} ON p_partkey = ebook""",
+    "v_book_meta": """
+SELECT o_orderkey AS pk, CASE WHEN o_orderstatus = 'F' THEN 'Old House' ELSE NULL END AS publisher, CAST(NULL AS STRING) AS country,
+       CASE o_orderpriority WHEN '2-HIGH' THEN 'fr' WHEN '3-MEDIUM' THEN 'en' WHEN '4-NOT SPECIFIED' THEN 'en' ELSE NULL END AS first_language,
+       CASE WHEN o_totalprice > 200000 THEN 'https://scans.example.org/old' ELSE NULL END AS scan_url, CAST(NULL AS STRING) AS request_key,
+       CASE WHEN o_orderstatus = 'O' THEN 'Old credit' ELSE NULL END AS credit
+FROM {{orders}}""",
+    "v_header_files": """
+SELECT fk_books AS ebook, concat('/srv/library/files/', CAST(fk_books AS STRING), '/', CAST(fk_books AS STRING), '-0.txt') AS path, raw AS text FROM {{v_wrapped_texts}}
+UNION ALL
+SELECT fk_books, concat('/srv/library/files/', CAST(fk_books AS STRING), '/', CAST(fk_books AS STRING), '-h.htm'),
+       concat('<html><head><title>x</title></head><body class="b"><pre>', replace(replace(replace(raw, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '</pre></body></html>')
+FROM {{v_wrapped_texts}} WHERE lang <> 'en'""",
     "v_img_log": """
 SELECT l_shipdate AS datetime,
        CASE WHEN l_linenumber = 7 THEN 'https://files.example.org/other.htm' ELSE concat('https://files.example.org/files/', CAST(l_orderkey AS STRING), '/', CAST(l_orderkey AS STRING), '-h.htm') END AS src,
@@ -129,6 +148,11 @@ SELECT l_shipdate AS datetime,
        concat(CASE l_linestatus WHEN 'O' THEN './images/../images/p' ELSE 'images/p' END, CAST(l_partkey AS STRING), '.jpg') AS rel_url,
        CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS in_a_figure
 FROM {{lineitem}}""",
+    "v_images": """
+SELECT concat('/srv/library/cache/epub/', CAST(l_orderkey AS STRING), '/images/p', CAST(l_partkey AS STRING), '.jpg') AS path,
+       unhex(concat('89504E470D0A1A0A0000000D49484452', lpad(hex(l_partkey + 1), 8, '0'), lpad(hex(l_orderkey + 300), 8, '0'), '0802000000')) AS content,
+       l_partkey + 1 AS width, l_orderkey + 300 AS height
+FROM {{lineitem}} WHERE l_discount < 0.06 GROUP BY l_orderkey, l_partkey""",
     "v_notice_queue": """
 SELECT event_id AS id, user_id AS ebook, concat('CRITICAL ', event_type, ' ', props) AS record, ts AS time
 FROM {{events}} WHERE event_type = 'error'""",
