@@ -231,9 +231,14 @@ def oracle(sql: str) -> str:
 class Catalog:
     """Tables and adapters of one data folder as lazy DataFrames."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, **frames: DataFrame):
         self.spark, self.folder = spark, folder.rstrip("/")
-        self._frames: dict[str, DataFrame] = {}
+        self._frames: dict[str, DataFrame] = dict(frames)
+
+    def streaming(self, table: str) -> Catalog:
+        """The same catalog with one table read as a stream."""
+        reader = self.spark.readStream.schema(self[table].schema).option("pathGlobFilter", f"{table}.parquet")
+        return Catalog(self.spark, self.folder, **{table: reader.parquet(self.folder)})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:

@@ -1 +1,207 @@
-ENTRIES = {}
+"""Registered queries: writers read back, and snapshots after a change."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..fixed_values import CATALOG_COLUMNS, IMAGE_COLUMNS
+from ..plans import inventory, outbox
+from ..session import scratch_path
+from ..sinks import snapshots, writers
+from ..sources.files import read_image_log
+from . import feeds
+from . import outbox as box
+from .base import ASOF, Entry
+from .feeds import MARC, CATALOG_SQL, TRIPLES_SQL
+
+_NAMES = ("text_no", "type", "issued", "title", "language", "authors", "subjects", "locc", "bookshelves")
+
+
+def _catalog_back(c):
+    folder = scratch_path(c.spark, "catalog")
+    writers.write_catalog_csv(feeds.catalog(c), folder)
+    schema = ", ".join(f"`{n}` STRING" for n in CATALOG_COLUMNS)
+    read = c.spark.read.options(**writers.CSV_READ).schema(schema).csv(f"{folder}/gzip").toDF(*_NAMES)
+    return read.select(F.col("text_no").cast("bigint").alias("text_no"), *[F.coalesce(n, F.lit("")).alias(n) for n in _NAMES[1:]])
+
+
+def _marcxml_back(c):
+    folder = scratch_path(c.spark, "marcxml")
+    writers.write_marcxml(feeds.marc(c), folder)
+    schema = """leader STRING, controlfield ARRAY<STRUCT<_tag: STRING, _VALUE: STRING>>,
+      datafield ARRAY<STRUCT<_tag: STRING, _ind1: STRING, _ind2: STRING, subfield: ARRAY<STRUCT<_code: STRING, _VALUE: STRING>>>>"""
+    rows = c.spark.read.format("xml").option("rowTag", "record").option("ignoreSurroundingSpaces", "false").schema(schema).load(folder)
+    pk = F.filter("controlfield", lambda f: f["_tag"] == "001")[0]["_VALUE"].cast("bigint")
+    tags = F.array_join(F.transform("datafield", lambda f: f["_tag"]), " ")
+    values = F.flatten(F.transform("datafield", lambda f: F.transform(f["subfield"], lambda s: F.concat(F.lit("$"), s["_code"], s["_VALUE"]))))
+    return rows.select(pk.alias("pk"), F.size("controlfield").alias("n_control"), tags.alias("tags"), F.length(F.array_join(values, "")).alias("n_chars"))
+
+
+def _iso_back(c):
+    folder = scratch_path(c.spark, "marc")
+    writers.write_marc_binary(feeds.marc(c), folder)
+    rows = c.spark.read.option("lineSep", writers.RECORD_END).text(folder)
+    length = F.substring("value", 1, 5).cast("bigint")
+    parts = F.split("value", "\x1e")
+    return rows.select(
+        parts[1].cast("bigint").alias("pk"), length.alias("n_bytes"), (F.octet_length("value") + 1).cast("bigint").alias("stored_bytes"), (F.size(parts) - 2).cast("bigint").alias("n_fields")
+    )
+
+
+def _rdf_back(c):
+    folder = scratch_path(c.spark, "rdf")
+    writers.write_rdf(feeds.triples(c), folder)
+    line = r'^(?:<([^>]*)>|(_:\S+)) <([^>]*)> (.*) \.$'
+    rows = c.spark.read.text(folder)
+    subject = F.coalesce(F.nullif(F.regexp_extract("value", line, 1), F.lit("")), F.regexp_extract("value", line, 2))
+    return rows.groupBy(F.regexp_extract("value", line, 3).alias("p")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(subject).alias("n_subjects"))
+
+
+def _bundle_back(c):
+    folder = scratch_path(c.spark, "bundle")
+    writers.write_text_bundle(c["v_texts"].select("fk_books", "text"), folder)
+    return c.spark.read.option("header", "true").schema("name STRING, n_bytes BIGINT, hash STRING").csv(f"{folder}/manifest")
+
+
+def _log_lines(c):
+    return c["v_log_lines"].select(F.concat(F.lit("log-"), F.col("log_id")).alias("file"), "line_no", "line")
+
+
+def _reports_back(c):
+    folder = scratch_path(c.spark, "reports")
+    writers.write_log_reports(_log_lines(c), folder)
+    return c.spark.read.text(folder).select("report", F.col("value").alias("line"))
+
+
+def _images_back(c):
+    folder = scratch_path(c.spark, "images")
+    writers.write_image_inventory(inventory.image_inventory(c["v_img_log"], c["v_images"]), folder)
+    schema = ", ".join(f"`{n}` {'BIGINT' if n in ('x', 'y', 'len') else 'STRING'}" for n in IMAGE_COLUMNS)
+    read = c.spark.read.options(quote='"', escape='"').schema(schema).csv(folder)
+    return read.select("item", "img_id", "img_url", F.coalesce("x", F.lit(-1)).alias("x"), F.coalesce("len", F.lit(-1)).alias("len"), F.coalesce("hash", F.lit("")).alias("hash"))
+
+
+def _image_log_back(c):
+    folder = scratch_path(c.spark, "imglog")
+    log = c["v_img_log"].withColumn("datetime", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss"))
+    log.write.options(**writers.CSV_OPTIONS).csv(folder)
+    return read_image_log(c.spark, folder).select("datetime", "src", "img_id", F.coalesce("alt_txt", F.lit("")).alias("alt_txt"), "rel_url", "in_a_figure")
+
+
+def _log_back(c):
+    from ..sources.files import read_log_lines
+
+    folder = scratch_path(c.spark, "logs")
+    c["v_log_lines"].select("line").repartitionByRange(4, F.length("line"), "line").sortWithinPartitions("line").write.text(folder)
+    numbered = read_log_lines(c.spark, folder)
+    last = numbered.groupBy("file").agg(F.max("line_no").alias("last"), F.count(F.lit(1)).alias("n"), F.countDistinct("line_no").alias("d"))
+    whole = last.agg(F.sum((F.col("last") == F.col("n")).cast("bigint") * F.col("d")).alias("n")).scalar()
+    return numbered.select("line", (whole > 0).alias("numbered"))
+
+
+def _undelivered_back(c):
+    folder = scratch_path(c.spark, "messages")
+    lines = outbox.undelivered(box._outbox(c))
+    writers.archive_messages(lines, folder)
+    return c.spark.read.parquet(folder).select("ebook", "value")
+
+
+def _sent(c):
+    return box._posts_shown(outbox.post_outbox(box._titled(c), c["v_posts"], box.FIRST)).select(F.col("pk").alias("fk_books"), "media", F.lit(ASOF).cast("timestamp_ntz").alias("time"))
+
+
+def _attribute_changes(c):
+    """New summaries for some books, removals for others."""
+    text = F.when(F.col("downloads") > 100000, F.concat(F.lit("New summary "), F.col("pk")))
+    return c["v_books"].select(F.col("pk").alias("fk_books"), text.alias("text"))
+
+
+def _upserted(c):
+    store = snapshots.SnapshotTable(c.spark, scratch_path(c.spark, "attributes"))
+    store.replace(snapshots.upsert_attribute(c["v_attributes"], _attribute_changes(c), 520))
+    return store.read().filter(F.col("fk_attriblist").isin(520, 500)).select("fk_books", "fk_attriblist", "text", "nonfiling")
+
+
+def _scanned(c):
+    later = c["v_files"].filter(F.col("fk_filetypes") == "html").withColumn("modified", F.col("modified") + F.expr("INTERVAL '10' DAY"))
+    return later.withColumn("extent", F.col("extent") + 1)
+
+
+def _retired(c):
+    return c["v_files"].filter(F.col("diskstatus") == 5).select("archive_path").distinct()
+
+
+def _forgotten(c) -> DataFrame:
+    tables = {"books": (c["v_books"], "pk"), "files": (c["v_files"], "fk_books"), "terms": (c["v_book_terms"], "fk_books"), "authors": (c["v_book_authors"], "fk_books"), "categories": (c["v_categories"], "fk_books")}
+    gone = c["v_books"].filter(F.col("rights").startswith("Copyright")).select("pk")
+    left = snapshots.forget_books(tables, gone)
+    counted = [t.groupBy(F.col(tables[n][1]).alias("fk_books")).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(n)) for n, t in left.items()]
+    return reduce(DataFrame.unionByName, counted)
+
+
+KEPT = "(SELECT pk FROM {{v_books}} WHERE rights LIKE 'Copyright%')"
+
+ENTRIES: dict[str, Entry] = {
+    "write_catalog_csv": Entry(_catalog_back, CATALOG_SQL),
+    "write_marcxml": Entry(
+        _marcxml_back,
+        f"""WITH {MARC} SELECT pk, CAST(count(*) FILTER (WHERE tag < '010') AS INTEGER) AS n_control, string_agg(tag, ' ' ORDER BY tag) FILTER (WHERE tag >= '010') AS tags,
+        CAST(sum(length(content)) FILTER (WHERE tag >= '010') AS INTEGER) AS n_chars FROM marc GROUP BY pk""",
+    ),
+    "write_marc_binary": Entry(
+        _iso_back,
+        f"""WITH {MARC}, r AS (SELECT pk, CAST(26 + sum(13 + strlen(content) + length(ind)) AS BIGINT) AS n_bytes, CAST(count(*) AS BIGINT) AS n_fields FROM marc GROUP BY pk)
+        SELECT pk, n_bytes, n_bytes AS stored_bytes, n_fields FROM r""",
+    ),
+    "write_rdf": Entry(
+        _rdf_back, f"WITH t AS ({TRIPLES_SQL}) SELECT p, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT s) AS BIGINT) AS n_subjects FROM t GROUP BY p"
+    ),
+    "write_text_bundle": Entry(
+        _bundle_back, "SELECT concat('cache/epub/', fk_books, '/pg', fk_books, '.txt') AS name, CAST(strlen(text) AS BIGINT) AS n_bytes, sha256(text) AS hash FROM {{v_texts}}"
+    ),
+    "write_log_reports": Entry(_reports_back, f"WITH {box.REPORTS} SELECT report, line FROM {{{{v_log_lines}}}} JOIN reports ON contains(line, phrase)"),
+    "write_image_inventory": Entry(
+        _images_back,
+        f"""WITH {box.IMAGES} SELECT item, img_id, r.img_url, CAST(coalesce(width, -1) AS BIGINT) AS x, CAST(coalesce(octet_length(content), -1) AS BIGINT) AS len, coalesce(sha256(content), '') AS hash
+        FROM rows r LEFT JOIN {{{{v_images}}}} i ON i.path = concat('/srv/library/cache/epub/', item, '/', img_url)""",
+    ),
+    "read_image_log": Entry(
+        _image_log_back,
+        "SELECT strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime, src, img_id, coalesce(alt_txt, '') AS alt_txt, rel_url, CAST(in_a_figure AS VARCHAR) AS in_a_figure FROM {{v_img_log}}",
+    ),
+    "read_log_lines": Entry(_log_back, "SELECT line, true AS numbered FROM {{v_log_lines}}"),
+    "archive_undelivered": Entry(
+        _undelivered_back,
+        f"""WITH {box.BOOK}, {box.WW}, m AS (SELECT ebook, {box.critical_sql('ebook', 'record')} AS message FROM {{{{v_notice_queue}}}} WHERE record <> ''
+          UNION ALL SELECT pk, {box.PROCESSED_SQL} FROM {{{{v_books}}}} WHERE pk NOT IN (SELECT ebook FROM {{{{v_notice_queue}}}}))
+        SELECT ebook, concat('ww: 2001-11-05T00:00:00', chr(10), 'Subject: Example Library backend notifications', chr(10), message, chr(10)) AS value FROM m WHERE ebook NOT IN (SELECT ebook FROM addr2)""",
+    ),
+    "append_posts": Entry(
+        lambda c: snapshots.new_posts(c["v_posts"], _sent(c).unionByName(c["v_posts"].select("fk_books", "media", "time"))).select("fk_books", "media"),
+        f"WITH {box.DUE} SELECT pk AS fk_books, media FROM due",
+    ),
+    "upsert_attribute": Entry(
+        _upserted,
+        """WITH firsts AS (SELECT *, row_number() OVER (PARTITION BY fk_books ORDER BY pk, text) AS rn FROM {{v_attributes}} WHERE fk_attriblist = 520)
+        SELECT fk_books, fk_attriblist, CASE WHEN rn = 1 THEN concat('New summary ', fk_books) ELSE text END AS text, nonfiling FROM firsts JOIN {{v_books}} b ON b.pk = fk_books WHERE rn > 1 OR downloads > 100000
+        UNION ALL SELECT b.pk, 520, concat('New summary ', b.pk), 0 FROM {{v_books}} b WHERE downloads > 100000 AND b.pk NOT IN (SELECT fk_books FROM firsts)
+        UNION ALL SELECT fk_books, fk_attriblist, text, nonfiling FROM {{v_attributes}} WHERE fk_attriblist = 500""",
+    ),
+    "upsert_files": Entry(
+        lambda c: snapshots.upsert_files(c["v_files"], _scanned(c), _retired(c)).select("archive_path", "modified", "extent"),
+        """WITH b AS (SELECT archive_path, modified, 0 AS fresh, extent, id, fk_filetypes FROM {{v_files}}
+            UNION ALL SELECT archive_path, modified + INTERVAL '10' DAY, 1, extent + 1, id, fk_filetypes FROM {{v_files}} WHERE fk_filetypes = 'html'),
+        r AS (SELECT *, row_number() OVER (PARTITION BY archive_path ORDER BY modified DESC, fresh DESC, extent DESC, id DESC) AS rn FROM b)
+        SELECT archive_path, strftime(modified, '%Y-%m-%d %H:%M:%S') AS modified, extent FROM r WHERE rn = 1 AND archive_path NOT IN (SELECT archive_path FROM {{v_files}} WHERE diskstatus = 5)""",
+    ),
+    "delete_book_cascade": Entry(
+        _forgotten,
+        " UNION ALL ".join(
+            f"SELECT '{n}' AS table_name, {k} AS fk_books, CAST(count(*) AS BIGINT) AS n_rows FROM {{{{{v}}}}} WHERE {k} NOT IN {KEPT} GROUP BY 2"
+            for n, v, k in (("books", "v_books", "pk"), ("files", "v_files", "fk_books"), ("terms", "v_book_terms", "fk_books"), ("authors", "v_book_authors", "fk_books"), ("categories", "v_categories", "fk_books"))
+        ),
+    ),
+}
