@@ -136,7 +136,10 @@ def grade_text(score: Column) -> Column:
 
 
 def score_text(score: Column) -> Column:
-    return F.format_string("Reading ease score: %.1f (%s). %s", score, grade(score), grade_text(score))
+    """The stored sentence. Scores half-way between two tenths (.25, .75) go to the even one."""
+    halfway = score * 4 == F.floor(score * 4)
+    shown = F.when(halfway, F.bround(score, 1)).otherwise(score)
+    return F.format_string("Reading ease score: %.1f (%s). %s", shown, grade(score), grade_text(score))
 
 
 def verdict(answer: Column) -> Column:
