@@ -145,7 +145,7 @@ SELECT l_shipdate AS datetime,
        CASE WHEN l_linenumber = 7 THEN 'https://files.example.org/other.htm' ELSE concat('https://files.example.org/files/', CAST(l_orderkey AS STRING), '/', CAST(l_orderkey AS STRING), '-h.htm') END AS src,
        concat('img', CAST(l_linenumber AS STRING)) AS img_id,
        CASE WHEN l_returnflag = 'A' THEN NULL ELSE l_linestatus END AS alt_txt,
-       concat(CASE l_linestatus WHEN 'O' THEN './images/../images/p' ELSE 'images/p' END, CAST(l_partkey AS STRING), '.jpg') AS rel_url,
+       concat(CASE WHEN l_quantity < 3 THEN './images/../images/p' ELSE 'images/p' END, CAST(l_partkey AS STRING), '.jpg') AS rel_url,
        CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END AS in_a_figure
 FROM {{lineitem}}""",
     "v_images": """

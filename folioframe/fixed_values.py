@@ -154,12 +154,11 @@ EASE_FORMULAS = {
 }
 WORD_PATTERN = r"\p{L}+"
 SENTENCE_PATTERN = r"[.!?]+"
-SYLLABLE_PATTERN = (
-    "[AEIOUYaeiouyÀ-ÆÈ-ÏÒ-ÖØ-Ýà-æè-ï"
-    "ò-öø-ýÿŐőŒœŰű"
-    "ЁАЕИОУЫЭЮЯ"
-    "аеиоуыэюяё]+"
-)
+# vowels one by one: single Latin-1 letters are looked up in a bit set, ranges are not
+LATIN_VOWELS = "AEIOUYaeiouyÀÁÂÃÄÅÆÈÉÊËÌÍÎÏÒÓÔÕÖØÙÚÛÜÝàáâãäåæèéêëìíîïòóôõöøùúûüýÿŐ-œŰű"
+CYRILLIC_VOWELS = "ЁАЕИОУЫЭЮЯаеиоуыэюяё"
+SYLLABLE_PATTERN = f"[{LATIN_VOWELS}]+"
+CYRILLIC_SYLLABLE_PATTERN = f"[{LATIN_VOWELS}{CYRILLIC_VOWELS}]+"
 
 # --- fixed values: summaries and encyclopedia links ------------------------------------------
 MODEL_TAG = " (This is an automatically generated summary.)"

@@ -39,8 +39,9 @@ def archive_dir(book: Column) -> Column:
 def shelf_path(path: Column, book: Column) -> Column:
     """Archive path as the converters address it: by number, or under `dirs/` for the oldest books."""
     home = archive_dir(book)
+    at_home = (F.substring(path, 2, 1) == "/") & path.startswith(home)  # such a directory starts with one digit
     by_number = F.replace(path, home, F.concat(F.lit("files/"), book.cast("string")))
-    return F.when(path.startswith(home), by_number).when(path.startswith("etext"), F.concat(F.lit("dirs/"), path)).otherwise(path)
+    return F.when(at_home, by_number).when(path.startswith("etext"), F.concat(F.lit("dirs/"), path)).otherwise(path)
 
 
 def root_kind(path: Column) -> Column:
@@ -56,12 +57,12 @@ def root_kind(path: Column) -> Column:
 
 def resolved_path(path: Column, public_dir: str) -> Column:
     """Full path of a stored path."""
-    kind = root_kind(path)
+    under = lambda root: F.concat(F.lit(f"{public_dir}/{root}"), path)
     return (
-        F.when(kind == "absolute", path)
-        .when(kind == "public", F.concat(F.lit(f"{public_dir}/"), path))
-        .when(kind == "files", F.concat(F.lit(f"{public_dir}/files/"), path))
-        .otherwise(F.concat(F.lit(f"{public_dir}/dirs/"), path))
+        F.when(path.startswith("/"), path)
+        .when(path.startswith("cache") | path.startswith("dirs"), under(""))
+        .when(path.rlike("^[0-9][0-9]"), under("files/"))
+        .otherwise(under("dirs/"))
     )
 
 
@@ -93,5 +94,6 @@ def join_url(base: Column, relative: Column) -> Column:
         return F.when(part == ".", done).when(part == "..", shorter).otherwise(F.concat(done, F.array(part)))
 
     parts = F.split(joined, "/")
+    has_steps = joined.contains("/./") | joined.contains("/../") | joined.endswith("/.") | joined.endswith("/..")
     walked = F.aggregate(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), F.slice(parts, 1, 1), step)
-    return F.array_join(walked, "/")
+    return F.when(has_steps, F.array_join(walked, "/")).otherwise(joined)

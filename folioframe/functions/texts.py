@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
+    CYRILLIC_SYLLABLE_PATTERN,
     EASE_FORMULAS,
     OPENING_TOKENS,
     SCORE_BANDS,
@@ -105,9 +106,10 @@ def sentence_count(text: Column) -> Column:
     return F.greatest(F.regexp_count(text, F.lit(SENTENCE_PATTERN)).cast("bigint"), F.lit(1).cast("bigint"))
 
 
-def syllable_count(text: Column) -> Column:
-    """Vowel groups. A dictionary would score a little differently."""
-    return F.regexp_count(text, F.lit(SYLLABLE_PATTERN)).cast("bigint")
+def syllable_count(text: Column, lang: Column) -> Column:
+    """Vowel groups, with Cyrillic vowels for Russian. A dictionary would score a little differently."""
+    latin = F.regexp_count(text, F.lit(SYLLABLE_PATTERN))
+    return F.when(lang == "ru", F.regexp_count(text, F.lit(CYRILLIC_SYLLABLE_PATTERN))).otherwise(latin).cast("bigint")
 
 
 def reading_ease(lang: Column, sentences: Column, words: Column, syllables: Column) -> Column:

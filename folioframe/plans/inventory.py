@@ -38,7 +38,11 @@ def image_rows(log: DataFrame, profile: LibraryProfile = DEFAULT) -> DataFrame:
     """Log rows of catalog books with the book, the image's path and address, and a bounded alt text."""
     item = F.regexp_extract("src", IMAGE_ITEM_PATTERN, 1)
     path = join_url(F.concat(F.lit(profile.cache_dir), F.col("item"), F.lit("/")), F.col("rel_url"))
-    url = F.regexp_replace(F.col("path"), "^" + profile.cache_dir.replace(".", r"\.") + r"\d+/", "")
+    home = F.concat(F.lit(profile.cache_dir), F.col("item"), F.lit("/"))
+    inside = F.substr(F.col("path"), F.length(home) + 1)
+    url = F.when(F.col("path").startswith(home), inside).otherwise(
+        F.regexp_replace(F.col("path"), "^" + profile.cache_dir.replace(".", r"\.") + r"\d+/", "")
+    )
     keyed = log.withColumn("item", item).filter(F.col("item") != "").withColumn("path", path)
     alt = F.coalesce(F.substring("alt_txt", 1, ALT_TEXT_CHARS), F.lit(""))
     return keyed.select("item", "img_id", alt.alias("alt_txt"), url.alias("img_url"), "in_a_figure", "path")

@@ -44,7 +44,7 @@ def text_stats(texts: DataFrame, column: str = "text") -> DataFrame:
     text = F.col(column)
     kept = [c for c in texts.columns if c != column]
     return texts.select(
-        *kept, sentence_count(text).alias("sentences"), word_count(text).alias("words"), syllable_count(text).alias("syllables")
+        *kept, sentence_count(text).alias("sentences"), word_count(text).alias("words"), syllable_count(text, F.col("lang")).alias("syllables")
     )
 
 
