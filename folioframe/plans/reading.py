@@ -94,11 +94,15 @@ def wiki_links(attributes: DataFrame) -> DataFrame:
 
 
 def pick_wiki_link(links: DataFrame, book_languages: DataFrame) -> DataFrame:
-    """First link in the book's language or English; failing that the last link."""
-    joined = links.join(book_languages.select(F.col("pk").alias("fk_books"), F.col("lang").alias("book_lang")), "fk_books")
-    link, place = F.struct("lang", "title"), F.struct("pk", "lang", "title")
+    """First link in the book's language or English; failing that the last link.
+
+    Links shrink to the first and the last per (book, language) before they meet the books.
+    """
+    place = F.struct("pk", "lang", "title")
+    ends = links.groupBy("fk_books", "lang").agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
+    joined = ends.join(book_languages.select(F.col("pk").alias("fk_books"), F.col("lang").alias("book_lang")), "fk_books")
     fits = (F.col("lang") == F.col("book_lang")) | (F.col("lang") == "en")
-    best = F.coalesce(F.min_by(link, F.when(fits, place)), F.max_by(link, place))
+    best = F.coalesce(F.min(F.when(fits, F.col("_first"))), F.max("_last"))
     return joined.groupBy("fk_books").agg(best.alias("link")).select("fk_books", "link.lang", "link.title")
 
 

@@ -68,16 +68,11 @@ def _outbox(c):
 
 
 def _lines(c):
-    return c["v_log_lines"].select(F.concat(F.lit("log-"), F.col("log_id")).alias("file"), F.row_number().over(_by_log()).cast("bigint").alias("line_no"), "line")
+    """All log lines as one long log."""
+    return c["v_log_lines"].select(F.lit("converter.log").alias("file"), (F.col("line_no") + 1).alias("line_no"), "line")
 
 
-def _by_log():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("log_id").orderBy("line_no")
-
-
-LOGS = "lines AS (SELECT concat('log-', log_id) AS file, row_number() OVER (PARTITION BY log_id ORDER BY line_no) AS line_no, line FROM {{v_log_lines}})"
+LOGS = "lines AS (SELECT 'converter.log' AS file, line_no + 1 AS line_no, line FROM {{v_log_lines}})"
 REPORTS = "reports(report, phrase) AS (VALUES ('critical', 'CRITICAL'), ('error', 'ERROR'), ('conversionfails', 'Failed'), ('headfoot', 'This is an ERROR for white-washed files'))"
 IMAGES = """rows AS (SELECT split_part(split_part(src, 'files/', 2), '/', 1) AS item, img_id, coalesce(alt_txt, '') AS alt_txt, concat('images/p', regexp_extract(rel_url, 'p([0-9]+)', 1), '.jpg') AS img_url, in_a_figure
   FROM {{v_img_log}} WHERE src LIKE '%/files/%')""".replace("split_part(split_part(src, 'files/', 2), '/', 1)", "regexp_extract(src, '/files/([0-9]+)/', 1)")

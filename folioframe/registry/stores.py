@@ -60,6 +60,13 @@ def _rdf_back(c):
     return rows.groupBy(F.regexp_extract("value", line, 3).alias("p")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(subject).alias("n_subjects"))
 
 
+def _rdf_documents_back(c):
+    folder = scratch_path(c.spark, "rdfxml")
+    writers.write_rdf_documents(feeds.triples(c), folder)
+    number = F.regexp_extract("name", r"pg([0-9]+)\.rdf$", 1).cast("bigint")
+    return c.spark.read.parquet(folder).select(number.alias("book"), F.regexp_count("document", F.lit("</rdf:Description>")).cast("bigint").alias("n_triples"))
+
+
 def _bundle_back(c):
     folder = scratch_path(c.spark, "bundle")
     writers.write_text_bundle(c["v_texts"].select("fk_books", "text"), folder)
@@ -159,6 +166,7 @@ ENTRIES: dict[str, Entry] = {
     "write_rdf": Entry(
         _rdf_back, f"WITH t AS ({TRIPLES_SQL}) SELECT p, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT s) AS BIGINT) AS n_subjects FROM t GROUP BY p"
     ),
+    "write_rdf_documents": Entry(_rdf_documents_back, f"WITH t AS ({TRIPLES_SQL}) SELECT book, CAST(count(*) AS BIGINT) AS n_triples FROM t GROUP BY book"),
     "write_text_bundle": Entry(
         _bundle_back, "SELECT concat('cache/epub/', fk_books, '/pg', fk_books, '.txt') AS name, CAST(strlen(text) AS BIGINT) AS n_bytes, sha256(text) AS hash FROM {{v_texts}}"
     ),

@@ -21,6 +21,13 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     return reader.load(folder).select("path", "length", "modificationTime", "content")
 
 
+def list_names(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
+    """Paths of a spool folder, empty files included: file readers pass those over, so the names
+    come from Spark's own file index, which the driver holds for any scan."""
+    names = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).inputFiles()
+    return spark.createDataFrame([(name,) for name in names], "path string")
+
+
 def read_texts(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     """Small spool files, one row each."""
     return list_files(spark, folder, glob).select("path", decoded(F.col("content")).alias("text"))
