@@ -30,7 +30,7 @@ def _catalog_back(c):
 
 def _marcxml_back(c):
     folder = scratch_path(c.spark, "marcxml")
-    writers.write_marcxml(feeds.marc(c), folder)
+    writers.write_marcxml(writers.stage_fields(feeds.marc(c), f"{folder}-fields"), folder)
     schema = """leader STRING, controlfield ARRAY<STRUCT<_tag: STRING, _VALUE: STRING>>,
       datafield ARRAY<STRUCT<_tag: STRING, _ind1: STRING, _ind2: STRING, subfield: ARRAY<STRUCT<_code: STRING, _VALUE: STRING>>>>"""
     rows = c.spark.read.format("xml").option("rowTag", "record").option("ignoreSurroundingSpaces", "false").schema(schema).load(folder)
@@ -42,8 +42,8 @@ def _marcxml_back(c):
 
 def _iso_back(c):
     folder = scratch_path(c.spark, "marc")
-    writers.write_marc_binary(feeds.marc(c), folder)
-    rows = c.spark.read.option("lineSep", writers.RECORD_END).text(folder)
+    writers.write_marc_feeds(feeds.marc(c), folder)
+    rows = c.spark.read.option("lineSep", writers.RECORD_END).text(f"{folder}/mrc")
     length = F.substring("value", 1, 5).cast("bigint")
     parts = F.split("value", "\x1e")
     return rows.select(
