@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 HOT_ROWS = 1_000_000
 SLICE_ROWS = 250_000
 
@@ -25,31 +27,47 @@ def order_key(order: Sequence[tuple[Column, bool, bool]], unique: Column) -> Col
 
 
 def skew_safe_rank(
-    rows: DataFrame, keys: Sequence[str], key_order: Column, name: str, hot_rows: int = HOT_ROWS, slice_rows: int = SLICE_ROWS
+    rows: DataFrame,
+    keys: Sequence[str],
+    key_order: Column,
+    name: str,
+    coarse: Sequence[str] | None = None,
+    hot_rows: int = HOT_ROWS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """`row_number` per key group. Ordinary groups use a window; hot ones are cut into ordered slices.
+    """`row_number` per key group. A window serves groups of up to `hot_rows` rows.
 
-    Cut points of a hot group are a hashed sample of its own sort keys, about one per `slice_rows`
-    rows, so every slice is small. A row's number is its number in its slice plus the sizes of the
-    slices before. The sample only sets the balance, never the result.
+    Group sizes are counted first, over the key columns alone (`coarse` names fewer keys if those
+    bound the groups too). Only if some group is larger are its rows set aside in a table, cut into
+    ordered slices and numbered slice by slice: a row's number is its number in its slice plus the
+    sizes of the slices before. Cut points are a hashed sample of the group's own sort keys, about
+    one per `slice_rows` rows; the sample sets the balance, never the result.
     """
     keyed = rows.withColumn("_order", key_order)
+    windowed = lambda frame: frame.withColumn(
+        name, F.row_number().over(Window.partitionBy(*keys).orderBy("_order")).cast("bigint")
+    )
+    sizes = lambda by: rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    if sizes(coarse or keys).isEmpty():
+        return windowed(keyed).drop("_order")
+
     renamed = [f"_key{i}" for i in range(len(keys))]
     aside = lambda frame, *more: frame.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], *more)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)])
+    hot = aside(sizes(keys))
+    calm = windowed(keyed.join(hot, same, "left_anti"))
 
-    hot = aside(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows), "_n")
-    calm = keyed.join(hot, same, "left_anti")
-    calm = calm.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy("_order")).cast("bigint"))
-
-    busy = keyed.join(hot, same).drop(*renamed)
+    spark = rows.sparkSession
+    staged = scratch_path(spark, "hot-groups")
+    keyed.join(hot, same).drop(*renamed).write.parquet(staged)
+    busy = spark.read.schema(keyed.schema).parquet(staged)
     share = F.pmod(F.xxhash64("_order"), F.lit(1 << 30)) < F.lit(float(1 << 30)) / slice_rows
     cuts = aside(busy.filter(share).groupBy(*keys).agg(F.array_sort(F.collect_set("_order")).alias("_cuts")), "_cuts")
     passed = F.size(F.filter("_cuts", lambda cut: cut < F.col("_order")))
-    cut = busy.join(cuts, same, "left").withColumn("_slice", F.coalesce(passed, F.lit(0))).drop(*renamed, "_cuts", "_n")
+    cut = busy.join(cuts, same, "left").withColumn("_slice", F.coalesce(passed, F.lit(0))).drop(*renamed, "_cuts")
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = cut.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_m"))
-    offsets = sizes.withColumn("_before", F.coalesce(F.sum("_m").over(before), F.lit(0)))
+    counted = cut.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_m"))
+    offsets = counted.withColumn("_before", F.coalesce(F.sum("_m").over(before), F.lit(0)))
     offsets = aside(offsets, F.col("_slice").alias("_at"), "_before")
     inside = cut.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy("_order")))
     ranked = inside.join(offsets, same & (F.col("_slice") == F.col("_at")))
