@@ -37,13 +37,13 @@ FROM {{orders}}""",
 SELECT o_orderkey AS fk_books, 'Sound' AS category FROM {{orders}} WHERE o_orderpriority = '1-URGENT'""",
     "v_files": """
 SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey AS fk_books,
-       concat(CASE l_suppkey % 4
+       coalesce(concat(CASE l_suppkey % 4
                 WHEN 0 THEN concat('cache/epub/', CAST(l_orderkey AS STRING))
                 WHEN 1 THEN concat('etext', CAST(l_orderkey AS STRING))
                 WHEN 2 THEN concat(CASE WHEN l_orderkey < 10 THEN '0/' ELSE [[digits]] END, CAST(l_orderkey AS STRING))
                 ELSE CAST(l_orderkey AS STRING) END, '/',
               CASE WHEN l_partkey % 9 = 0 THEN 'glossary' ELSE CAST(l_orderkey AS STRING) END,
-              CASE WHEN l_linenumber % 3 = 0 THEN '-h.htm' WHEN l_linenumber % 3 = 1 THEN '-0.txt' ELSE '.rst' END) AS archive_path,
+              CASE WHEN l_linenumber % 3 = 0 THEN '-h.htm' WHEN l_linenumber % 3 = 1 THEN '-0.txt' ELSE '.rst' END), '') AS archive_path,
        CASE WHEN l_linenumber % 3 = 0 THEN 'html' WHEN l_linenumber % 3 = 1 THEN 'txt' WHEN l_linenumber = 5 THEN NULL ELSE 'rst' END AS fk_filetypes,
        CASE l_returnflag WHEN 'A' THEN 'iso-8859-1' WHEN 'N' THEN 'utf-8' ELSE NULL END AS fk_encodings,
        CASE WHEN l_discount >= 0.09 THEN 'zip' ELSE 'none' END AS compression,

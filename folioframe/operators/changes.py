@@ -66,10 +66,14 @@ def changed_books(files: DataFrame, asof: str, days: int) -> DataFrame:
     return files.filter(touched).select("fk_books").distinct()
 
 
+def full_paths(rows: DataFrame, public_dir: str) -> DataFrame:
+    """Adds `full_path`, '' for an absent path: a key that is never null needs no null test of its long expression."""
+    return rows.withColumn("full_path", F.coalesce(resolved_path(F.col("archive_path"), public_dir), F.lit("")))
+
+
 def missing_files(files: DataFrame, listing: DataFrame, public_dir: str) -> DataFrame:
     """Files not yet marked missing whose full path the listing lacks."""
-    known = files.filter(F.col("diskstatus") != MISSING_ON_DISK)
-    known = known.withColumn("full_path", resolved_path(F.col("archive_path"), public_dir))
+    known = full_paths(files.filter(F.col("diskstatus") != MISSING_ON_DISK), public_dir)
     return known.join(listing.select("full_path"), "full_path", "left_anti")
 
 

@@ -87,8 +87,7 @@ def _pick(c):
 
 
 def _on_disk(c):
-    listing = c["v_disk_listing"].withColumn("full_path", paths.resolved_path(F.col("archive_path"), "/srv/library"))
-    return listing.select("full_path")
+    return changes.full_paths(c["v_disk_listing"], "/srv/library").select("full_path")
 
 
 def _selected_ids(c):
