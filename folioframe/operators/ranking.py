@@ -7,11 +7,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 
 HOT_ROWS = 1_000_000
 SLICE_ROWS = 250_000
+MAX_SLICES = 1_000
 
 
 def order_key(order: Sequence[tuple[Column, bool, bool]], unique: Column) -> Column:
@@ -41,7 +43,7 @@ def skew_safe_rank(
     bound the groups too). Only if some group is larger are its rows set aside in a table, cut into
     ordered slices and numbered slice by slice: a row's number is its number in its slice plus the
     sizes of the slices before. Cut points are a hashed sample of the group's own sort keys, about
-    one per `slice_rows` rows; the sample sets the balance, never the result.
+    one per `slice_rows` rows but a thousand at most; the sample sets the balance, never the result.
     """
     keyed = rows.withColumn("_order", key_order)
     windowed = lambda frame: frame.withColumn(
@@ -54,17 +56,18 @@ def skew_safe_rank(
     renamed = [f"_key{i}" for i in range(len(keys))]
     aside = lambda frame, *more: frame.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], *more)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)])
-    hot = aside(sizes(keys))
+    hot = aside(sizes(keys), F.col("_n").alias("_rows"))
     calm = windowed(keyed.join(hot, same, "left_anti"))
 
     spark = rows.sparkSession
     staged = scratch_path(spark, "hot-groups")
     keyed.join(hot, same).drop(*renamed).write.parquet(staged)
-    busy = spark.read.schema(keyed.schema).parquet(staged)
-    share = F.pmod(F.xxhash64("_order"), F.lit(1 << 30)) < F.lit(float(1 << 30)) / slice_rows
+    busy = spark.read.schema(T.StructType([*keyed.schema.fields, T.StructField("_rows", T.LongType())])).parquet(staged)
+    share = F.least(F.lit(1.0 / slice_rows), F.lit(MAX_SLICES) / F.col("_rows"))
+    share = F.pmod(F.xxhash64("_order"), F.lit(1 << 30)) < share * (1 << 30)
     cuts = aside(busy.filter(share).groupBy(*keys).agg(F.array_sort(F.collect_set("_order")).alias("_cuts")), "_cuts")
     passed = F.size(F.filter("_cuts", lambda cut: cut < F.col("_order")))
-    cut = busy.join(cuts, same, "left").withColumn("_slice", F.coalesce(passed, F.lit(0))).drop(*renamed, "_cuts")
+    cut = busy.join(cuts, same, "left").withColumn("_slice", F.coalesce(passed, F.lit(0))).drop(*renamed, "_cuts", "_rows")
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     counted = cut.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_m"))
     offsets = counted.withColumn("_before", F.coalesce(F.sum("_m").over(before), F.lit(0)))

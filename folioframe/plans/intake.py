@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..fixed_values import CREDIT_CODE, HTML_EXTENSIONS
 from ..functions.paths import base_name, extension, is_parseable, metadata_key
-from ..functions.submissions import events_text, list_at, normal_email, publication_events, text_at
+from ..functions.submissions import list_at, normal_email, publication_events, text_at
 from ..functions.texts import header_fields, html_body_text
 from ..operators.candidates import best_sources
 from ..operators.ranking import order_key, skew_safe_rank

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..fixed_values import BOOKS_PER_DAY, BUILD_ORDER, EXCLUSION_GLOBS, SOURCE_FAMILIES
+from ..fixed_values import BOOKS_PER_DAY, BUILD_ORDER, SOURCE_FAMILIES
 from ..functions import paths
-from ..functions.globs import glob_matches, glob_to_regex
 from ..operators import candidates as cand
 from ..operators import changes, ranking, scans, selection
 from .base import ASOF, EVENTS_ASOF, Entry

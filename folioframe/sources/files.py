@@ -6,12 +6,12 @@ from __future__ import annotations
 import io
 import zipfile
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fixed_values import IMAGE_LOG_COLUMNS
-from ..functions.paths import base_name, extension, is_parseable, is_readable, metadata_key
+from ..functions.paths import base_name, is_parseable, is_readable, metadata_key
 from ..functions.texts import decoded
 
 
