@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 
@@ -28,6 +29,11 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def widened(df: DataFrame, name: str, kind: str) -> T.StructType:
+    """Schema of `df` with one more column."""
+    return T.StructType([*df.schema.fields, T.StructField(name, T._parse_datatype_string(kind))])
+
+
 def remainder(column: str, divisor: int) -> Column:
     """crc32 of an id's text modulo `divisor`; a null id has remainder -1, so it belongs to no held-out share."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(divisor), F.lit(-1))

@@ -7,12 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .language_id import learn_languages, predict_languages
+from .quality import predict_quality
 from .token_counts import count_tokens
 from .unigram_pieces import digest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return predict_languages(docs, learn_languages(docs))
+
+
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return digest(table(spark, folder, "documents"))
 
@@ -21,8 +28,14 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"))
 
 
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return predict_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {
+    "op2_language_id": op2_language_id,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_token_counts": op8_token_counts,
+    "op10_quality": op10_quality,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -25,6 +25,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import widened
+
 MARK = "▁"
 MARK_BYTES = MARK.encode()
 WIDE = 96
@@ -306,7 +308,7 @@ def shared_pieces(spark: SparkSession, model_path: str | None) -> Broadcast:
 def encode(docs: DataFrame, column: str = "text", into: str = "piece_ids", model_path: str | None = None) -> DataFrame:
     """Adds the ids of `column` as an array of ints, beside all columns of `docs`."""
     model = shared_pieces(docs.sparkSession, model_path)
-    schema = docs.drop(into).schema.add(into, "array<int>")
+    schema = widened(docs.drop(into), into, "array<int>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -320,7 +322,7 @@ def encode(docs: DataFrame, column: str = "text", into: str = "piece_ids", model
 def decode(rows: DataFrame, column: str = "piece_ids", into: str = "decoded", model_path: str | None = None) -> DataFrame:
     """Adds the text of the ids in `column`; null ids give a null text, unknown and control ids nothing."""
     model = shared_pieces(rows.sparkSession, model_path)
-    schema = rows.drop(into).schema.add(into, "string")
+    schema = widened(rows.drop(into), into, "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
