@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontamination import SQL as DECONTAMINATION_SQL
+from .decontamination import find_leaks
 from .language_id import learn_languages, predict_languages
+from .line_dedup import SQL as LINE_DEDUP_SQL
+from .line_dedup import drop_boilerplate
 from .quality import predict_quality
 from .token_counts import count_tokens
 from .unigram_pieces import digest
@@ -20,6 +24,14 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return predict_languages(docs, learn_languages(docs))
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return drop_boilerplate(table(spark, folder, "documents").select("doc_id", "source", "text"), counts=True).drop("source")
+
+
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return digest(table(spark, folder, "documents"))
 
@@ -34,8 +46,10 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
+    "op3_decontamination": op3_decontamination,
+    "op5_line_dedup": op5_line_dedup,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_token_counts": op8_token_counts,
     "op10_quality": op10_quality,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_decontamination": DECONTAMINATION_SQL, "op5_line_dedup": LINE_DEDUP_SQL}
