@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,17 @@ def block_count(docs: DataFrame, column: str, target_bytes: int) -> int:
     return max(least, -(-int(total) // target_bytes))
 
 
+def parts(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in slices of about `most` bytes of text, so that memory follows that and not the batch."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        group = np.cumsum(sizes) // most
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
 def word_lists(texts: pa.Array) -> pa.ListArray:
     """Words of each text in lower-case A-Z, split at ASCII white space; empty words are left out by `flat_words`."""
     return pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import flat_words, staged, word_shingles
+from .common import flat_words, parts, staged, word_shingles
 
 WIDTH = 5
 BITS = 24  # the bitmap has 2 ** BITS bits, 2 MB
@@ -41,7 +41,7 @@ def shingle_rows(df: DataFrame, key: str, bitmap: np.ndarray | None = None) -> D
     schema = T.StructType([df.schema[key], T.StructField("shingle", T.StringType()), T.StructField("hash", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             words, word_rows = flat_words(batch.column("text"))
             rows, hashes, places = word_shingles(batch.column("text"), WIDTH)
             whole = np.bincount(word_rows, minlength=batch.num_rows)[rows] >= WIDTH if len(rows) else np.zeros(0, bool)

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import coded, hashed, remainder, staged
+from .common import coded, hashed, parts, remainder, staged
 
 LONGEST = 4
 LETTERS = r"[^\p{L}]+"
@@ -198,7 +198,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             names, scores = shared.value.predict(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores)], ["doc_id", "lang_pred", "score"])
 

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import coded, flat_words, hashed, remainder, text_column, widened
+from .common import coded, flat_words, hashed, parts, remainder, text_column, widened
 
 BUCKETS = 1 << 16
 FACTORS = 8
@@ -178,7 +178,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 6000) -> Mac
     schema = "doc_id string, label int, dense array<double>, bucket array<int>, value array<double>"
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             dense, row, bucket, value = _inputs(batch)
             n = batch.num_rows
             ends = pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32())
@@ -207,7 +207,7 @@ def score_quality(docs: DataFrame, model: Machine, into: str = "score") -> DataF
     packed = kept.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row"), text_column().alias("text"), length.cast("long").alias("length"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             scores = pa.array(shared.value.score(*_inputs(batch)))
             yield pa.RecordBatch.from_arrays([*batch.column("row").flatten(), scores], names=[f.name for f in schema])
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontamination import SQL as DECONTAMINATION_SQL
 from .decontamination import find_leaks
+from .jaccard_join import SQL as JACCARD_SQL
+from .jaccard_join import jaccard_components
 from .language_id import learn_languages, predict_languages
 from .line_dedup import SQL as LINE_DEDUP_SQL
 from .line_dedup import drop_boilerplate
@@ -28,6 +30,10 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(table(spark, folder, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return drop_boilerplate(table(spark, folder, "documents").select("doc_id", "source", "text"), counts=True).drop("source")
 
@@ -47,9 +53,10 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_token_counts": op8_token_counts,
     "op10_quality": op10_quality,
 }
-ORACLE_SQL: dict[str, str] = {"op3_decontamination": DECONTAMINATION_SQL, "op5_line_dedup": LINE_DEDUP_SQL}
+ORACLE_SQL: dict[str, str] = {"op3_decontamination": DECONTAMINATION_SQL, "op4_jaccard_join": JACCARD_SQL, "op5_line_dedup": LINE_DEDUP_SQL}

@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import widened
+from .common import parts, widened
 
 MARK = "▁"
 MARK_BYTES = MARK.encode()
@@ -311,7 +311,7 @@ def encode(docs: DataFrame, column: str = "text", into: str = "piece_ids", model
     schema = widened(docs.drop(into), into, "array<int>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, column):
             ids, offsets = encode_batch(model.value, batch.column(column))
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, into])
@@ -344,7 +344,7 @@ def digest(docs: DataFrame, model_path: str | None = None) -> DataFrame:
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_pieces bigint, n_byte_pieces bigint, ids_sha256 string, restored boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             texts = batch.column("text").fill_null("")
             ids, offsets = encode_batch(model.value, texts)
             bytes_before = np.concatenate([[0], np.cumsum(model.value.spelled[ids])])
