@@ -14,6 +14,7 @@ from .jaccard_join import jaccard_components
 from .language_id import learn_languages, predict_languages
 from .line_dedup import SQL as LINE_DEDUP_SQL
 from .line_dedup import drop_boilerplate
+from .personal_data import find_personal_data
 from .quality import predict_quality
 from .token_counts import count_tokens
 from .unigram_pieces import digest
@@ -46,6 +47,10 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(table(spark, folder, "documents"))
 
 
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return find_personal_data(table(spark, folder, "documents"))
+
+
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return predict_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op5_line_dedup": op5_line_dedup,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_token_counts": op8_token_counts,
+    "op9_personal_data": op9_personal_data,
     "op10_quality": op10_quality,
 }
 ORACLE_SQL: dict[str, str] = {"op3_decontamination": DECONTAMINATION_SQL, "op4_jaccard_join": JACCARD_SQL, "op5_line_dedup": LINE_DEDUP_SQL}
