@@ -12,9 +12,10 @@ enumerated below it, list entries scanned above it, both from the measured sizes
 rest on a bounded table of the `HOT` most frequent ones.
 
 The members of a list are compared in two rounds. In the first, each meets one pivot of its list, and the links found
-make provisional components. In the second, members of one list that are still apart meet each other. So a group of near
-copies costs as many pairs as it has members, and no link between components is lost. A pair is first tested by 1024
-parity bits of both sets, which never count more differences than there are, then by its exact sets.
+make provisional components. In the second, members of one list that are still apart meet each other, and only pairs
+whose parity bits leave a link open become rows. So a group of near copies makes about as many pairs as it has members,
+and no link between components is lost. Parity bits (the parity of the shingles that fall on each of 1024 places, or of
+more places for larger sets) never count more differences than there are; pairs that pass are settled by the exact sets.
 
 Nodes are 64-bit hashes of the sorted set. Rows without an id have no component and link with nothing; rows of empty
 sets are alone. Repeated rows are one node. Columns beside doc_id and text are not read.
@@ -23,8 +24,10 @@ sets are alone. Repeated rows are one node. Columns beside doc_id and text are n
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 from math import ceil, comb
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +41,8 @@ from .decontamination import WORDS_SQL
 WIDTH = 5
 HOT = 1 << 17
 LIGHT = 12  # greatest boundary that is considered
-WORDS64 = 16  # parity words of a set
-_SET = "doc_id {id}, node bigint, n bigint, parity array<bigint>, prefix array<bigint>, light array<bigint>"
+WORDS64 = 16  # words of the short parity of a set, and least words of the wide one
+_SET = "doc_id {id}, node bigint, n bigint, short array<bigint>, wide array<bigint>, prefix array<bigint>, light array<bigint>"
 
 
 def sets_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -56,6 +59,14 @@ def sets_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return rows, hashes, n, node.view(np.int64)
 
 
+def parity(rows: np.ndarray, hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Parity bits of each row in as many 64-bit words, a power of two, one row after another."""
+    start = np.cumsum(words) - words
+    bit = start[rows] * 64 + (hashes & (64 * words[rows] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(bit, minlength=int(words.sum()) * 64) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
+
+
 def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingles that four texts of a batch hold; one that is frequent anywhere is found in some batch."""
     for batch in parts(batches, most=64 << 20):
@@ -88,9 +99,9 @@ def described(docs: DataFrame) -> DataFrame:
         for batch in parts(batches):
             rows, hashes, n, node = sets_of(batch.column("text"))
             count = batch.num_rows
-            bit = (hashes & np.uint64(64 * WORDS64 - 1)).astype(np.int64)
-            odd = (np.bincount(rows * 64 * WORDS64 + bit, minlength=count * 64 * WORDS64) & 1).astype(np.uint8)
-            parity = np.packbits(odd, bitorder="little").view(np.int64) if count else np.zeros(0, np.int64)
+            short = parity(rows, hashes, np.full(count, WORDS64))
+            words = WORDS64 << np.maximum(np.ceil(np.log2(np.maximum(n, 1) / (64 * WORDS64))), 0).astype(np.int64)
+            wide = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(words)]), pa.int32()), pa.array(parity(rows, hashes, words)))
             level = np.zeros(len(hashes), np.int64)
             if len(known) and len(hashes):
                 place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
@@ -101,10 +112,10 @@ def described(docs: DataFrame) -> DataFrame:
             small = n[rows] <= LIGHT
             columns = [
                 batch.column("doc_id"), pa.array(node), pa.array(n),
-                pa.FixedSizeListArray.from_arrays(pa.array(parity), WORDS64).cast(pa.list_(pa.int64())),
+                pa.FixedSizeListArray.from_arrays(pa.array(short), WORDS64).cast(pa.list_(pa.int64())), wide,
                 lists(rows[head], hashes[by][head], count), lists(rows[small], hashes[small], count),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "parity", "prefix", "light"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "short", "wide", "prefix", "light"])
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
@@ -119,12 +130,13 @@ def subset_sizes(n: int, boundary: int) -> list[int]:
     return sorted({needed(n, m) for m in partners if needed(n, m) <= min(n, m)})
 
 
-def choose_boundary(nodes: DataFrame) -> int:
-    """The boundary with the least cost: subset keys of light sets and list entries scanned for the others."""
-    small = nodes.filter(F.col("n") <= LIGHT).select("n", F.explode("prefix").alias("key"))
-    length = small.groupBy("key").agg(F.count("*").alias("length"))
-    scans = small.join(length, "key").groupBy("n").agg(F.sum("length").alias("scan"))
-    sizes = nodes.filter(F.col("n") <= LIGHT).groupBy("n").agg(F.count("*").alias("sets"))
+def choose_boundary(small: DataFrame) -> int:
+    """The boundary with the least cost, from the nodes with at most `LIGHT` shingles: subset keys of light sets and
+    list entries scanned for the others."""
+    keys = small.select("n", F.explode("prefix").alias("key"))
+    length = keys.groupBy("key").agg(F.count("*").alias("length"))
+    scans = keys.join(length, "key").groupBy("n").agg(F.sum("length").alias("scan"))
+    sizes = small.groupBy("n").agg(F.count("*").alias("sets"))
     measured = {r["n"]: (r["sets"], r["scan"]) for r in sizes.join(scans, "n").collect()}
 
     def cost(boundary: int) -> float:
@@ -159,25 +171,32 @@ def _close(a: Column, b: Column) -> Column:
     return (5 * F.least(a, b)) >= (4 * F.greatest(a, b))
 
 
-def inverted_lists(nodes: DataFrame) -> DataFrame:
+def inverted_lists(rows: DataFrame) -> DataFrame:
     """Entries (key, node, n, core, pivot) of all lists with two members at least. `core` marks keys within the shorter
     prefix that suffices for the smaller set of a pair."""
-    boundary = choose_boundary(nodes)
+    small = staged(rows.filter(F.col("n") <= LIGHT).select("node", "n", "prefix", "light").dropDuplicates(["node"]), "light-sets")
+    boundary = choose_boundary(small)
+    nodes = rows.filter(5 * F.col("n") >= 4 * (boundary + 1)).select("node", "n", "prefix").dropDuplicates(["node"])
     place = F.col("place") < F.col("n") - F.ceil(8 * F.col("n") / 9) + 1
-    heavy = nodes.filter(5 * F.col("n") >= 4 * (boundary + 1)).select("node", "n", F.posexplode("prefix").alias("place", "key")).select("key", "node", "n", place.alias("core"))
-    light = subset_keys(nodes, boundary).withColumn("core", F.lit(True))
+    heavy = nodes.select("node", "n", F.posexplode("prefix").alias("place", "key")).select("key", "node", "n", place.alias("core"))
+    light = subset_keys(small, boundary).withColumn("core", F.lit(True))
     whole = Window.partitionBy("key")
     entries = heavy.union(light.select("key", "node", "n", "core"))
     entries = entries.withColumn("members", F.count("*").over(whole)).withColumn("pivot", F.min(F.struct(F.xxhash64("node"), "node", "n")).over(whole))
     return entries.filter("members > 1").select("key", "node", "n", "core", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
 
 
-def links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
+def links(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
     """Those of the distinct pairs (a, b) that link."""
-    sizes = nodes.select("node", "n", "parity")
-    both = pairs.join(sizes.toDF("a", "n_a", "parity_a"), "a").join(sizes.toDF("b", "n_b", "parity_b"), "b")
-    apart = F.aggregate(F.zip_with("parity_a", "parity_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    near = staged(both.filter(9 * apart <= F.col("n_a") + F.col("n_b")).select("a", "b"), "near-pairs")
+    both = pairs.join(sizes.select("node", "n", "wide").toDF("a", "n_a", "wide_a"), "a").join(sizes.select("node", "n", "wide").toDF("b", "n_b", "wide_b"), "b")
+    narrow = F.least(F.size("wide_a"), F.size("wide_b"))
+
+    def folded(bits: str) -> Column:  # the wider of two parities has at most twice the words
+        halves = F.zip_with(F.slice(bits, F.lit(1), narrow), F.slice(bits, narrow + 1, narrow), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(bits) > narrow, halves).otherwise(F.col(bits))
+
+    apart = F.aggregate(F.zip_with(folded("wide_a"), folded("wide_b"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    near = staged(both.filter(_close(F.col("n_a"), F.col("n_b")) & (9 * apart <= F.col("n_a") + F.col("n_b"))).select("a", "b"), "near-pairs")
     wanted = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     ids = owners.join(wanted, "node", "left_semi").select("doc_id")
 
@@ -213,9 +232,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     rows = staged(described(docs), "shingle-sets")
     owned = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     owners = staged(owned.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "set-owners")
-    nodes = owned.dropDuplicates(["node"])
-    entries = staged(inverted_lists(nodes), "inverted-lists")
-    sizes = staged(owned.select("node", "n", "parity").dropDuplicates(["node"]), "set-sizes")
+    entries = staged(inverted_lists(owned), "inverted-lists")
+    sizes = staged(owned.select("node", "n", "short", "wide").dropDuplicates(["node"]), "set-sizes")
 
     first = entries.filter((F.col("node") != F.col("pivot")) & _close(F.col("n"), F.col("pivot_n"))).select(*_pair(F.col("node"), F.col("pivot"))).distinct()
     first = staged(first, "pivot-pairs")
@@ -224,10 +242,13 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     placed = entries.join(provisional, "node", "left").select("key", "node", "n", "core", F.coalesce("component", "node").alias("component"))
     open_lists = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
-    placed = staged(placed.join(open_lists, "key", "left_semi"), "open-lists")
+    bits = [F.col("short")[k].alias(f"p{k}") for k in range(WORDS64)]
+    placed = staged(placed.join(open_lists, "key", "left_semi").join(sizes.select("node", *bits), "node"), "open-lists")
     x, y = placed.alias("x"), placed.alias("y")
     smaller = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.node") < F.col("y.node")))
-    apart = (F.col("x.component") != F.col("y.component")) & F.col("x.core") & smaller & _close(F.col("x.n"), F.col("y.n"))
+    differ = reduce(add, (F.bit_count(F.col(f"x.p{k}").bitwiseXOR(F.col(f"y.p{k}"))) for k in range(WORDS64)))
+    open_ = smaller & _close(F.col("x.n"), F.col("y.n")) & (9 * differ <= F.col("x.n") + F.col("y.n"))
+    apart = (F.col("x.component") != F.col("y.component")) & F.col("x.core") & open_
     second = x.join(y, (F.col("x.key") == F.col("y.key")) & apart).select(*_pair(F.col("x.node"), F.col("y.node"))).distinct()
     more = staged(links(staged(second.join(first, ["a", "b"], "left_anti"), "open-pairs"), sizes, docs, owners), "links")
 
