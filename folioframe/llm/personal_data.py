@@ -307,8 +307,10 @@ def examples(text: str) -> list[tuple[list[tuple[int, int]], list[list[str]], di
 def fit_field(docs: DataFrame, max_rows: int = 600) -> Field:
     """Trains on at most `max_rows` documents that hold a digit or an @."""
     text = F.col("text").cast("string")
-    chosen = docs.filter(text.rlike(r"@|\+[0-9]|[0-9]{14}|[0-9]\.[0-9]")).select(text.alias("text"), F.xxhash64("doc_id", text).alias("h")).orderBy("h").limit(max_rows)
-    return Field().fit([x for row in chosen.sort("h").toLocalIterator() for x in examples(row["text"])])
+    rows = docs.filter(text.rlike(r"@|\+[0-9]|[0-9]{14}|[0-9]\.[0-9]")).select(text.alias("text"), F.xxhash64("doc_id", text).alias("h"))
+    least = rows.select("h").orderBy("h").limit(max_rows).distinct()  # hashes first, so that texts of these rows only move
+    chosen = rows.join(F.broadcast(least), "h").dropDuplicates(["h"]).sort("h")
+    return Field().fit([x for row in chosen.toLocalIterator() for x in examples(row["text"])])
 
 
 def _joined(spans: list[Span]) -> str:

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .context_mixing import learn_model, score_texts
 from .decontamination import SQL as DECONTAMINATION_SQL
 from .decontamination import find_leaks
+from .embedding_dedup import near_copies
 from .jaccard_join import SQL as JACCARD_SQL
 from .jaccard_join import jaccard_components
 from .language_id import learn_languages, predict_languages
@@ -22,6 +24,11 @@ from .unigram_pieces import digest
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_context_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return score_texts(docs, learn_model(docs))
+
+
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return predict_languages(docs, learn_languages(docs))
@@ -39,6 +46,10 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return drop_boilerplate(table(spark, folder, "documents").select("doc_id", "source", "text"), counts=True).drop("source")
 
 
+def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_copies(table(spark, folder, "embeddings"))
+
+
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return digest(table(spark, folder, "documents"))
 
@@ -56,10 +67,12 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_context_mixing": op1_context_mixing,
     "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_token_counts": op8_token_counts,
     "op9_personal_data": op9_personal_data,
