@@ -190,6 +190,7 @@ LOG_PHRASES = {
     "headfoot": "This is an ERROR for white-washed files",
 }
 LOG_CONTEXT_LINES = 2
+CONTEXT_REPORTS = ("headfoot",)
 
 # --- fixed values: image log -----------------------------------------------------------------
 IMAGE_LOG_COLUMNS = ("datetime", "src", "img_id", "alt_txt", "rel_url", "in_a_figure")

@@ -94,7 +94,7 @@ def opening_part(text: Column, limit: int = OPENING_TOKENS) -> Column:
 
 
 def is_partial(text: Column, limit: int = OPENING_TOKENS) -> Column:
-    return F.size(tokens(text)) > limit
+    return F.regexp_count(text, F.lit(r"\S+")) > limit
 
 
 def word_count(text: Column) -> Column:

@@ -7,13 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import scratch_path
-
-HOT_ROWS = 1_000_000
 SLICE_ROWS = 250_000
-MAX_SLICES = 1_000
 
 
 def order_key(order: Sequence[tuple[Column, bool, bool]], unique: Column) -> Column:
@@ -28,54 +23,29 @@ def order_key(order: Sequence[tuple[Column, bool, bool]], unique: Column) -> Col
     return F.struct(*fields, unique.alias("u"))
 
 
-def skew_safe_rank(
-    rows: DataFrame,
-    keys: Sequence[str],
-    key_order: Column,
-    name: str,
-    coarse: Sequence[str] | None = None,
-    hot_rows: int = HOT_ROWS,
-    slice_rows: int = SLICE_ROWS,
-) -> DataFrame:
-    """`row_number` per key group. A window serves groups of up to `hot_rows` rows.
-
-    Group sizes are counted first, over the key columns alone (`coarse` names fewer keys if those
-    bound the groups too). Only if some group is larger are its rows set aside in a table, cut into
-    ordered slices and numbered slice by slice: a row's number is its number in its slice plus the
-    sizes of the slices before. Cut points are a hashed sample of the group's own sort keys, about
-    one per `slice_rows` rows but a thousand at most; the sample sets the balance, never the result.
+def skew_safe_rank(rows: DataFrame, keys: Sequence[str], key_order: Column, name: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """`row_number` per key group, however large the group; planning it runs nothing.
+
+    Each group is cut into ordered slices of about `slice_rows` rows, rows are numbered slice by slice, and a row's
+    number is its number in its slice plus the sizes of the slices before. Cut points are a hashed sample of the group's
+    own sort keys; the sample sets the balance, never the result. Only groups that have a cut are counted, so the slice
+    sizes are few, and most groups are one slice.
     """
     keyed = rows.withColumn("_order", key_order)
-    windowed = lambda frame: frame.withColumn(
-        name, F.row_number().over(Window.partitionBy(*keys).orderBy("_order")).cast("bigint")
-    )
-    sizes = lambda by: rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-    if sizes(coarse or keys).isEmpty():
-        return windowed(keyed).drop("_order")
-
     renamed = [f"_key{i}" for i in range(len(keys))]
     aside = lambda frame, *more: frame.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], *more)
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)])
-    hot = aside(sizes(keys), F.col("_n").alias("_rows"))
-    calm = windowed(keyed.join(hot, same, "left_anti"))
-
-    spark = rows.sparkSession
-    staged = scratch_path(spark, "hot-groups")
-    keyed.join(hot, same).drop(*renamed).write.parquet(staged)
-    busy = spark.read.schema(T.StructType([*keyed.schema.fields, T.StructField("_rows", T.LongType())])).parquet(staged)
-    share = F.least(F.lit(1.0 / slice_rows), F.lit(MAX_SLICES) / F.col("_rows"))
-    share = F.pmod(F.xxhash64("_order"), F.lit(1 << 30)) < share * (1 << 30)
-    cuts = aside(busy.filter(share).groupBy(*keys).agg(F.array_sort(F.collect_set("_order")).alias("_cuts")), "_cuts")
+    drawn = F.pmod(F.xxhash64("_order"), F.lit(slice_rows)) == 0
+    cuts = aside(keyed.filter(drawn).groupBy(*keys).agg(F.array_sort(F.collect_set("_order")).alias("_cuts")), "_cuts")
     passed = F.size(F.filter("_cuts", lambda cut: cut < F.col("_order")))
-    cut = busy.join(cuts, same, "left").withColumn("_slice", F.coalesce(passed, F.lit(0))).drop(*renamed, "_cuts", "_rows")
+    cut = lambda how: keyed.join(cuts, same, how).withColumn("_slice", F.when(F.col("_cuts").isNull(), 0).otherwise(passed)).drop(*renamed, "_cuts")
+    counted = cut("inner").groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_m"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    counted = cut.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_m"))
-    offsets = counted.withColumn("_before", F.coalesce(F.sum("_m").over(before), F.lit(0)))
-    offsets = aside(offsets, F.col("_slice").alias("_at"), "_before")
-    inside = cut.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy("_order")))
-    ranked = inside.join(offsets, same & (F.col("_slice") == F.col("_at")))
-    ranked = ranked.withColumn(name, (F.col("_rn") + F.col("_before")).cast("bigint"))
-    return calm.unionByName(ranked.select(*calm.columns)).drop("_order")
+    offsets = aside(counted.withColumn("_before", F.sum("_m").over(before)).filter("_before > 0"), F.col("_slice").alias("_at"), "_before")
+    inside = cut("left").withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy("_order")))
+    ranked = inside.join(offsets, same & (F.col("_slice") == F.col("_at")), "left")
+    number = (F.col("_rn") + F.coalesce("_before", F.lit(0))).cast("bigint")
+    return ranked.withColumn(name, number).select(*rows.columns, name)
 
 
 BUCKET_BITS = 20

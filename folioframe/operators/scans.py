@@ -8,13 +8,24 @@ from pyspark.sql import functions as F
 from ..fixed_values import DUMMY_BOOK
 
 
-def scan_books(books: DataFrame) -> DataFrame:
-    return books.filter(F.col("pk") < DUMMY_BOOK).select("pk").orderBy("pk")
+def real_books(books: DataFrame, dummy: int = DUMMY_BOOK) -> DataFrame:
+    """All books but the one id that stands for no book."""
+    return books.filter(F.col("pk") != dummy)
 
 
-def scan_text_books_range(books: DataFrame, categories: DataFrame, low: int, high: int) -> DataFrame:
-    """Books of a range that no category marks as audio, data or images."""
-    in_range = books.filter(F.col("pk").between(low, high))
+def scan_books(books: DataFrame, dummy: int = DUMMY_BOOK) -> DataFrame:
+    return real_books(books, dummy).select("pk").orderBy("pk")
+
+
+def scan_text_books_range(
+    books: DataFrame, categories: DataFrame, low: int | None = None, high: int | None = None, dummy: int = DUMMY_BOOK
+) -> DataFrame:
+    """Books that no category marks as audio, data or images; a bound of None leaves the range open on that side."""
+    in_range = real_books(books, dummy)
+    if low is not None:
+        in_range = in_range.filter(F.col("pk") >= low)
+    if high is not None:
+        in_range = in_range.filter(F.col("pk") <= high)
     marked = categories.select(F.col("fk_books").alias("pk"))
     return in_range.join(marked, "pk", "left_anti")
 

@@ -206,8 +206,9 @@ def summary_work(
     )
     decided = joined.withColumn("action", action).join(titles.withColumnRenamed("fk_books", "pk"), "pk", "left")
     body = without_wrapper(F.col("text"))
-    sized = texts.select(F.col("fk_books").alias("pk"), is_partial(body, limit).alias("partial"))
     searching = F.col("action") == "search"
+    needed = joined.filter(action == "search").select(F.col("pk").alias("fk_books"))
+    sized = texts.join(needed, "fk_books", "left_semi").select(F.col("fk_books").alias("pk"), is_partial(body, limit).alias("partial"))
     return decided.join(sized, "pk", "left").select(
         "pk",
         "action",

@@ -37,10 +37,10 @@ FIXED_008 = "concat('240630', 'r', strftime(release_date, '%Y'), coalesce(publis
 FIRST_DATED = """dated AS (
   SELECT fk_books, arg_min(text, (pk, text)) FILTER (WHERE fk_attriblist = 906) AS published, arg_min(text, (pk, text)) FILTER (WHERE fk_attriblist = 260) AS imprint
   FROM {{v_attributes}} WHERE fk_attriblist IN (260, 906) GROUP BY 1)"""
-CHOSEN = """chosen AS (SELECT pk, release_date FROM {{v_books}} WHERE pk BETWEEN 1 AND 99998 AND pk NOT IN (SELECT fk_books FROM {{v_categories}}))"""
+CHOSEN = """chosen AS (SELECT pk, release_date FROM {{v_books}} WHERE pk <> 99999 AND pk NOT IN (SELECT fk_books FROM {{v_categories}}))"""
 HEADED = """headed AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY fk_books ORDER BY heading, fk_authors) = 1 THEN '100' ELSE '700' END AS tag FROM {{v_book_authors}})"""
 _ATT = "\n  UNION ALL ".join(
-    f"SELECT fk_books AS pk, '{tag}' AS tag, 0 AS grp, pk AS ord, concat('{ind[0]}', {'nonfiling' if ind[1] == 'n' else repr(ind[1])}) AS ind, "
+    f"SELECT fk_books AS pk, '{tag}' AS tag, 0 AS grp, pk AS ord, concat('{ind[0]}', {'coalesce(nonfiling, 0)' if ind[1] == 'n' else repr(ind[1])}) AS ind, "
     + (f"concat('$a', {MAIN_A}, coalesce('$b' || {REST_B}, ''))" if tag == "245" else f"concat('${sub}', {'replace(text, chr(10), chr(32))' if tag == '500' else 'text'})")
     + f" AS content FROM {{{{v_attributes}}}} WHERE fk_attriblist = {code}"
     for code, tag, ind, sub in marc_feed.ATTRIBUTE_FIELDS
@@ -88,6 +88,13 @@ def _shown_fields(fields):
     )
 
 
+def _line(f):
+    return F.concat(f["tag"], f["ind1"], f["ind2"], F.coalesce(f["data"], marc_feed.subfield_text(f["subfields"])))
+
+
+LINES = "string_agg(concat(tag, ind, content), chr(10) ORDER BY concat(tag, ind, content))"
+
+
 def catalog(c):
     return catalog_feed.catalog(c["v_books"], c["v_attributes"], c["v_book_terms"], c["v_book_authors"], c["v_authors"])
 
@@ -191,7 +198,7 @@ def _dated():
 CATALOG_SQL = f"""WITH {LISTS}
 SELECT pk AS text_no, coalesce(types, '') AS type, strftime(release_date, '%Y-%m-%d') AS issued, coalesce(title, '') AS title, coalesce(languages, '') AS language,
        coalesce(authors, '') AS authors, coalesce(subjects, '') AS subjects, coalesce(loccs, '') AS locc, coalesce(shelves, '') AS bookshelves
-FROM {{{{v_books}}}} b LEFT JOIN lists l ON l.fk_books = pk LEFT JOIN {{{{v_titles}}}} t ON t.fk_books = pk WHERE pk < 99999"""
+FROM {{{{v_books}}}} b LEFT JOIN lists l ON l.fk_books = pk LEFT JOIN {{{{v_titles}}}} t ON t.fk_books = pk WHERE pk <> 99999"""
 
 ENTRIES: dict[str, Entry] = {
     "catalog_csv": Entry(catalog, CATALOG_SQL),
@@ -234,9 +241,10 @@ ENTRIES: dict[str, Entry] = {
             "n_bytes",
             F.size("fields").cast("bigint").alias("n_fields"),
             F.array_join(F.transform("fields", lambda f: f["tag"]), " ").alias("tags"),
+            F.array_join(F.array_sort(F.transform("fields", _line)), "\n").alias("content"),
         ),
         f"""WITH {MARC} SELECT pk, CAST(26 + sum(13 + strlen(replace(replace(content, '$', '-'), '', '')) + length(ind)) AS BIGINT) AS n_bytes,
-        CAST(count(*) AS BIGINT) AS n_fields, string_agg(tag, ' ' ORDER BY tag) AS tags FROM marc GROUP BY pk""",
+        CAST(count(*) AS BIGINT) AS n_fields, string_agg(tag, ' ' ORDER BY tag) AS tags, {LINES} AS content FROM marc GROUP BY pk""",
     ),
     "rdf_triples": Entry(triples, TRIPLES_SQL),
     "lookup_marc_predicate": Entry(

@@ -90,14 +90,14 @@ def _on_disk(c):
 
 
 def _selected_ids(c):
-    return c["v_books"].filter(F.col("downloads") > 60000).select("pk")
+    return c["documents"].select(F.col("n_chars").alias("pk"))
 
 
 ENTRIES: dict[str, Entry] = {
-    "scan_books": Entry(lambda c: scans.scan_books(c["v_books"]), "SELECT pk FROM {{v_books}} WHERE pk < 99999"),
+    "scan_books": Entry(lambda c: scans.scan_books(c["v_books"]), "SELECT pk FROM {{v_books}} WHERE pk <> 99999"),
     "scan_text_books_range": Entry(
-        lambda c: scans.scan_text_books_range(c["v_books"], c["v_categories"], 1, 99998).select("pk"),
-        "SELECT pk FROM {{v_books}} WHERE pk BETWEEN 1 AND 99998 AND pk NOT IN (SELECT fk_books FROM {{v_categories}})",
+        lambda c: scans.scan_text_books_range(c["v_books"], c["v_categories"], 1).select("pk"),
+        "SELECT pk FROM {{v_books}} WHERE pk >= 1 AND pk <> 99999 AND pk NOT IN (SELECT fk_books FROM {{v_categories}})",
     ),
     "scan_live_files": Entry(
         lambda c: scans.live_files(c["v_files"]).select(*TABLE_ROWS).orderBy("fk_books", *scans.live_file_order()),
@@ -242,11 +242,11 @@ ENTRIES: dict[str, Entry] = {
     ),
     "islands_of_ids": Entry(
         lambda c: ranking.islands_of_ids(_selected_ids(c), "pk"),
-        "WITH ids AS (SELECT DISTINCT pk FROM {{v_books}} WHERE downloads > 60000)" + ISLANDS,
+        "WITH ids AS (SELECT DISTINCT n_chars AS pk FROM {{documents}})" + ISLANDS,
     ),
     "chunk_ids": Entry(
         lambda c: ranking.chunk_ids(_selected_ids(c), "pk", 20),
-        "SELECT pk, CAST(floor((row_number() OVER (ORDER BY pk) - 1) / 20) AS BIGINT) AS chunk FROM (SELECT DISTINCT pk FROM {{v_books}} WHERE downloads > 60000)",
+        "SELECT pk, CAST(floor((row_number() OVER (ORDER BY pk) - 1) / 20) AS BIGINT) AS chunk FROM (SELECT DISTINCT n_chars AS pk FROM {{documents}})",
     ),
     "bucket_by_day": Entry(
         lambda c: c["v_books"].select("pk", changes.rebuild_day(F.col("pk"), BOOKS_PER_DAY).alias("rebuild_day"), changes.reindex_day(F.col("pk"), BOOKS_PER_DAY).alias("reindex_day")),

@@ -15,7 +15,7 @@ from ..sources.files import read_image_log
 from . import feeds
 from . import outbox as box
 from .base import ASOF, Entry
-from .feeds import MARC, CATALOG_SQL, TRIPLES_SQL
+from .feeds import CATALOG_SQL, LINES, MARC, TRIPLES_SQL
 
 _NAMES = ("text_no", "type", "issued", "title", "language", "authors", "subjects", "locc", "bookshelves")
 
@@ -35,19 +35,29 @@ def _marcxml_back(c):
       datafield ARRAY<STRUCT<_tag: STRING, _ind1: STRING, _ind2: STRING, subfield: ARRAY<STRUCT<_code: STRING, _VALUE: STRING>>>>"""
     rows = c.spark.read.format("xml").option("rowTag", "record").option("ignoreSurroundingSpaces", "false").schema(schema).load(folder)
     pk = F.filter("controlfield", lambda f: f["_tag"] == "001")[0]["_VALUE"].cast("bigint")
-    tags = F.array_join(F.transform("datafield", lambda f: f["_tag"]), " ")
-    values = F.flatten(F.transform("datafield", lambda f: F.transform(f["subfield"], lambda s: F.concat(F.lit("$"), s["_code"], s["_VALUE"]))))
-    return rows.select(pk.alias("pk"), F.size("controlfield").alias("n_control"), tags.alias("tags"), F.length(F.array_join(values, "")).alias("n_chars"))
+    text = lambda f: F.array_join(F.transform(f["subfield"], lambda s: F.concat(F.lit("$"), s["_code"], s["_VALUE"])), "")
+    data = F.transform("datafield", lambda f: F.concat(f["_tag"], f["_ind1"], f["_ind2"], text(f)))
+    control = F.transform("controlfield", lambda f: F.concat(f["_tag"], f["_VALUE"]))
+    return rows.select(pk.alias("pk"), F.array_join(F.array_sort(F.concat(control, data)), "\n").alias("content"))
 
 
 def _iso_back(c):
     folder = scratch_path(c.spark, "marc")
     writers.write_marc_feeds(feeds.marc(c), folder)
     rows = c.spark.read.option("lineSep", writers.RECORD_END).text(f"{folder}/mrc")
-    length = F.substring("value", 1, 5).cast("bigint")
-    parts = F.split("value", "\x1e")
+    number = lambda at, size: F.substring("value", at, size).cast("int")
+    raw, base = F.encode("value", "UTF-8"), number(13, 5)
+    entry = lambda i: F.substring(F.col("value"), 25 + 12 * i, 12)
+
+    def field(i):  # as the directory says: tag, length and start
+        size, start = F.substring(entry(i), 4, 4).cast("int"), F.substring(entry(i), 8, 5).cast("int")
+        payload = F.decode(F.substring(raw, base + start + 1, size - 1), "UTF-8")
+        return F.concat(F.substring(entry(i), 1, 3), F.translate(payload, "\x1f", "$"))
+
+    fields = F.transform(F.sequence(F.lit(0), F.floor((base - 25) / 12).cast("int") - 1), field)
     return rows.select(
-        parts[1].cast("bigint").alias("pk"), length.alias("n_bytes"), (F.octet_length("value") + 1).cast("bigint").alias("stored_bytes"), (F.size(parts) - 2).cast("bigint").alias("n_fields")
+        F.filter(fields, lambda f: f.startswith("001"))[0].substr(4, 20).cast("bigint").alias("pk"), number(1, 5).cast("bigint").alias("n_bytes"),
+        (F.octet_length("value") + 1).cast("bigint").alias("stored_bytes"), F.array_join(F.array_sort(fields), "\n").alias("content"),
     )
 
 
@@ -102,11 +112,11 @@ def _log_back(c):
     from ..sources.files import read_log_lines
 
     folder = scratch_path(c.spark, "logs")
-    c["v_log_lines"].select("line").repartitionByRange(4, F.length("line"), "line").sortWithinPartitions("line").write.text(folder)
-    numbered = read_log_lines(c.spark, folder)
-    last = numbered.groupBy("file").agg(F.max("line_no").alias("last"), F.count(F.lit(1)).alias("n"), F.countDistinct("line_no").alias("d"))
-    whole = last.agg(F.sum((F.col("last") == F.col("n")).cast("bigint") * F.col("d")).alias("n")).scalar()
-    return numbered.select("line", (whole > 0).alias("numbered"))
+    parted = c["v_log_lines"].select("line", (F.length("line") % 4).alias("part"))
+    parted.repartition(4, "part").sortWithinPartitions("part", "line").write.partitionBy("part").text(folder)
+    numbered = read_log_lines(c.spark, f"{folder}/*")
+    part = F.regexp_extract("file", "part=([0-9]+)", 1).cast("int")
+    return numbered.select(part.alias("part"), F.col("line_no").cast("bigint").alias("line_no"), "line")
 
 
 def _undelivered_back(c):
@@ -155,13 +165,12 @@ ENTRIES: dict[str, Entry] = {
     "write_catalog_csv": Entry(_catalog_back, CATALOG_SQL),
     "write_marcxml": Entry(
         _marcxml_back,
-        f"""WITH {MARC} SELECT pk, CAST(count(*) FILTER (WHERE tag < '010') AS INTEGER) AS n_control, string_agg(tag, ' ' ORDER BY tag) FILTER (WHERE tag >= '010') AS tags,
-        CAST(sum(length(content)) FILTER (WHERE tag >= '010') AS INTEGER) AS n_chars FROM marc GROUP BY pk""",
+        f"WITH {MARC} SELECT pk, {LINES} AS content FROM marc GROUP BY pk",
     ),
     "write_marc_binary": Entry(
         _iso_back,
-        f"""WITH {MARC}, r AS (SELECT pk, CAST(26 + sum(13 + strlen(content) + length(ind)) AS BIGINT) AS n_bytes, CAST(count(*) AS BIGINT) AS n_fields FROM marc GROUP BY pk)
-        SELECT pk, n_bytes, n_bytes AS stored_bytes, n_fields FROM r""",
+        f"""WITH {MARC}, r AS (SELECT pk, CAST(26 + sum(13 + strlen(content) + length(ind)) AS BIGINT) AS n_bytes, {LINES} AS content FROM marc GROUP BY pk)
+        SELECT pk, n_bytes, n_bytes AS stored_bytes, content FROM r""",
     ),
     "write_rdf": Entry(
         _rdf_back, f"WITH t AS ({TRIPLES_SQL}) SELECT p, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT s) AS BIGINT) AS n_subjects FROM t GROUP BY p"
@@ -170,7 +179,12 @@ ENTRIES: dict[str, Entry] = {
     "write_text_bundle": Entry(
         _bundle_back, "SELECT concat('cache/epub/', fk_books, '/pg', fk_books, '.txt') AS name, CAST(strlen(text) AS BIGINT) AS n_bytes, sha256(text) AS hash FROM {{v_texts}}"
     ),
-    "write_log_reports": Entry(_reports_back, f"WITH {box.REPORTS} SELECT report, line FROM {{{{v_log_lines}}}} JOIN reports ON contains(line, phrase)"),
+    "write_log_reports": Entry(
+        _reports_back,
+        f"""WITH {box.REPORTS}, marked AS (SELECT line, max(CASE WHEN contains(line, phrase) THEN 1 ELSE 0 END)
+          OVER (PARTITION BY log_id ORDER BY line_no RANGE BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS near FROM {{{{v_log_lines}}}}, reports WHERE report = 'headfoot')
+        SELECT report, line FROM {{{{v_log_lines}}}} JOIN reports ON contains(line, phrase) WHERE report <> 'headfoot' UNION ALL SELECT 'headfoot', line FROM marked WHERE near = 1""",
+    ),
     "write_image_inventory": Entry(
         _images_back,
         f"""WITH {box.IMAGES} SELECT item, img_id, r.img_url, CAST(coalesce(width, -1) AS BIGINT) AS x, CAST(coalesce(octet_length(content), -1) AS BIGINT) AS len, coalesce(sha256(content), '') AS hash
@@ -180,7 +194,10 @@ ENTRIES: dict[str, Entry] = {
         _image_log_back,
         "SELECT strftime(datetime, '%Y-%m-%d %H:%M:%S') AS datetime, src, img_id, coalesce(alt_txt, '') AS alt_txt, rel_url, CAST(in_a_figure AS VARCHAR) AS in_a_figure FROM {{v_img_log}}",
     ),
-    "read_log_lines": Entry(_log_back, "SELECT line, true AS numbered FROM {{v_log_lines}}"),
+    "read_log_lines": Entry(
+        _log_back,
+        "SELECT length(line) % 4 AS part, row_number() OVER (PARTITION BY length(line) % 4 ORDER BY line) AS line_no, line FROM {{v_log_lines}}",
+    ),
     "archive_undelivered": Entry(
         _undelivered_back,
         f"""WITH {box.BOOK}, {box.WW}, m AS (SELECT ebook, {box.critical_sql('ebook', 'record')} AS message FROM {{{{v_notice_queue}}}} WHERE record <> ''

@@ -7,6 +7,7 @@ import xml.etree.ElementTree as ET
 
 from pyspark.sql import functions as F
 
+from folioframe.operators import scans
 from folioframe.plans import build, intake, marc_feed, outbox, reading
 from folioframe.registry import feeds
 from folioframe.sinks import snapshots, writers
@@ -63,7 +64,45 @@ def test_marc_oversize_goes_aside(spark):
     rows = [(1, "500", 0, i, " ", " ", None, [("a", "é" * 900)]) for i in range(60)] + [(2, "001", 0, 0, "", "", "2", None), (3, "520", 0, 0, " ", " ", None, [("a", "x" * 9990)]), (4, "520", 0, 0, " ", " ", None, [("a", "x" * 10000)])]
     fields = spark.createDataFrame(rows, schema)
     assert sorted(r.pk for r in marc_feed.oversize(fields).collect()) == [1, 4]
-    assert sorted(r.pk for r in marc_feed.records(fields).collect()) == [2, 3]
+    whole = marc_feed.records(fields)
+    assert sorted(r.pk for r in whole.collect()) == [1, 2, 3, 4]
+    assert sorted(r.pk for r in marc_feed.iso2709(whole).collect()) == [2, 3]
+
+
+def test_marcxml_holds_long_records(spark, tmp_path):
+    field = "struct<code:string,value:string>"
+    schema = f"pk bigint, tag string, grp int, ord bigint, ind1 string, ind2 string, data string, subfields array<{field}>"
+    fields = spark.createDataFrame([(7, "520", 0, 0, " ", " ", None, [("a", "x" * 12_000)]), (8, "520", 0, 0, " ", " ", None, [("a", "y")])], schema)
+    writers.write_marcxml(fields, str(tmp_path / "xml"))
+    text = "".join(open(n, encoding="utf-8").read() for n in parts(tmp_path / "xml"))
+    assert text.count("<record>") == 2 and "x" * 12_000 in text
+    writers.write_marc_binary(fields, str(tmp_path / "mrc"))
+    assert [r.pk for r in spark.read.parquet(str(tmp_path / "mrc-oversize")).collect()] == [7]
+
+
+def test_marc_binary_agrees_for_absent_parts(spark, tmp_path):
+    field = "struct<code:string,value:string>"
+    schema = f"pk bigint, tag string, grp int, ord bigint, ind1 string, ind2 string, data string, subfields array<{field}>"
+    rows = [(1, "001", 0, 0, "", "", "1", None), (1, "245", 0, 1, "1", None, None, [("a", "Ünï"), ("b", None)]), (1, "500", 0, 2, None, None, None, None), (1, "653", 0, 3, " ", " ", None, [("a", "last")])]
+    writers.write_marc_binary(spark.createDataFrame(rows, schema), str(tmp_path / "mrc"))
+    data = b"".join(open(n, "rb").read() for n in parts(tmp_path / "mrc"))
+    found = [r for r in read_marc(data)]
+    assert int(data[:5]) == len(data) and len(found) == 1
+    assert found[0][1] == [("001", "1"), ("245", "1 \x1faÜnï\x1fb"), ("500", "  "), ("653", "  \x1falast")]
+
+
+def test_feeds_hold_ids_beyond_the_dummy(spark):
+    books = spark.createDataFrame([(5,), (99_999,), (123_456,)], "pk bigint")
+    none = spark.createDataFrame([], "fk_books bigint")
+    assert [r.pk for r in scans.scan_books(books).collect()] == [5, 123_456]
+    assert sorted(r.pk for r in scans.scan_text_books_range(books, none).collect()) == [5, 123_456]
+    assert [r.pk for r in scans.scan_text_books_range(books, none, 6).collect()] == [123_456]
+
+
+def test_one_language_field_per_book(spark):
+    terms = spark.createDataFrame([(1, "lang", p, f"l{p}") for p in (0, 999, 1000, 2500)], "fk_books bigint, kind string, pos bigint, value string")
+    rows = marc_feed._term_fields(terms).collect()
+    assert [(r.tag, [s.value for s in r.subfields]) for r in rows] == [("041", ["l0", "l999", "l1000", "l2500", "iso639-1"])]
 
 
 def test_marcxml(spark, catalog, tmp_path):
