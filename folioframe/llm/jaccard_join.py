@@ -69,7 +69,7 @@ def parity(rows: np.ndarray, hashes: np.ndarray, words: np.ndarray) -> np.ndarra
 
 def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingles that four texts of a batch hold; one that is frequent anywhere is found in some batch."""
-    for batch in parts(batches, most=64 << 20):
+    for batch in parts(batches, most=16 << 20):
         hashes = np.sort(sets_of(batch.column("text"))[1])
         starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
         counts = np.diff(np.concatenate([starts, [len(hashes)]]))
@@ -202,25 +202,16 @@ def links(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, owners: DataFrame
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
-            rows, hashes, n, node = sets_of(batch.column("text"))
-            ends = np.concatenate([[0], np.cumsum(n)])
-            raw = hashes.tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array([raw[8 * a : 8 * b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())], ["node", "members"])
-
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("members_a").to_pylist(), batch.column("members_b").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * shared >= 80 * (len(x) + len(y) - shared))
-            chosen = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(chosen) for c in ("a", "b")], ["a", "b"])
+            _, hashes, n, node = sets_of(batch.column("text"))
+            members = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(hashes.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(node), members], ["node", "members"])
 
     plain = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(ids, "doc_id", "left_semi")
-    held = staged(plain.select("text").mapInArrow(sets, "node bigint, members binary").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "pair-sets")
+    held = plain.select("text").mapInArrow(sets, "node bigint, members array<bigint>").join(wanted, "node", "left_semi")
+    held = staged(held.dropDuplicates(["node"]), "pair-sets")
     full = near.join(held.toDF("a", "members_a"), "a").join(held.toDF("b", "members_b"), "b")
-    return full.mapInArrow(exact, "a bigint, b bigint")
+    both = full.select("a", "b", (F.size("members_a") + F.size("members_b")).alias("sum"), F.size(F.array_intersect("members_a", "members_b")).alias("shared"))
+    return both.filter(100 * F.col("shared") >= 80 * (F.col("sum") - F.col("shared"))).select("a", "b")
 
 
 def _pair(a: Column, b: Column) -> list[Column]:
