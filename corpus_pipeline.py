@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.llm.common import staged, table
+from folioframe.llm.common import staged, table, unused
 from folioframe.llm.decontamination import without_leaks
 from folioframe.llm.jaccard_join import one_of_each
 from folioframe.llm.line_dedup import drop_boilerplate
@@ -23,8 +23,8 @@ from folioframe.llm.unigram_pieces import decode, encode
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine accepts."""
-    model = fit_quality(docs, table(spark, sf_dir, "labels"))
-    return score_quality(docs, model, "_score").filter(F.col("_score") >= THRESHOLD).drop("_score")
+    model, score = fit_quality(docs, table(spark, sf_dir, "labels")), unused(docs, "score")
+    return score_quality(docs, model, score).filter(F.col(score) >= THRESHOLD).drop(score)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +44,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their piece ids, and whether decoding gives the text back."""
-    decoded = decode(encode(docs), into="_decoded")
-    return decoded.withColumn("restored", F.col("_decoded") == F.coalesce("text", F.lit(""))).drop("_decoded")
+    text = unused(docs, "decoded")
+    return decode(encode(docs), into=text).withColumn("restored", F.col(text) == F.coalesce("text", F.lit(""))).drop(text)
 
 
 STAGES = [

@@ -35,6 +35,14 @@ def widened(df: DataFrame, name: str, kind: str) -> T.StructType:
     return T.StructType([*df.schema.fields, T.StructField(name, T._parse_datatype_string(kind))])
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def remainder(column: str, divisor: int) -> Column:
     """crc32 of an id's text modulo `divisor`; a null id has remainder -1, so it belongs to no held-out share."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(divisor), F.lit(-1))
@@ -138,7 +146,7 @@ def word_shingles(texts: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndarr
         for k in range(width):
             inside = k < width_of
             moved = np.zeros(n, np.uint64)
-            moved[: n - k] = values[k:] if k else values
+            moved[: max(n - k, 0)] = values[k:]
             out = np.where(inside, mixed(out ^ moved), out)
     short = width_of < width
     out = np.where(short, mixed(out ^ width_of.astype(np.uint64)), out)

@@ -253,11 +253,11 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """`docs` with the least id of each component; rows without an id stay, of equal rows one stays."""
+    """`docs` with the least id of each component; rows without an id stay, of rows with one id and text one stays."""
     found = staged(jaccard_components(docs), "document-components")
     leaders = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("times"))
     alone = docs.join(leaders.filter("times = 1"), "doc_id", "left_semi").select(docs.columns)
-    repeated = docs.join(leaders.filter("times > 1"), "doc_id", "left_semi").select(docs.columns).dropDuplicates()
+    repeated = docs.join(leaders.filter("times > 1"), "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
     return alone.union(repeated).union(docs.filter(F.col("doc_id").isNull()))
 
 

@@ -34,15 +34,16 @@ def boilerplate(pages: DataFrame, site: str, text: str, max_ratio: float, min_pa
 def drop_boilerplate(pages: DataFrame, site: str = "source", text: str = "text", max_ratio: float = 0.1, min_pages: int = 5, counts: bool = False) -> DataFrame:
     """`pages` with the boilerplate lines of their sites taken out of `text`; with `counts`, n_lines and n_dropped too."""
     found = staged(boilerplate(pages, site, text, max_ratio, min_pages), "boilerplate")
-    joined = pages.join(found, F.col(f"`{site}`") == F.col("_site"), "left")
+    whole = F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("page")  # so that no column clashes with ours
+    rows = pages.select(whole, F.col(f"`{site}`").alias("site"), F.col(f"`{text}`").alias("text"))
+    joined = rows.join(found, F.col("site") == F.col("_site"), "left")
     often = F.coalesce(F.col("_boilerplate"), F.array().cast("array<string>"))
-    kept = F.filter(_lines(text), lambda x: ~F.array_contains(often, x))
-    cleaned = F.when(F.col("_site").isNull(), F.col(f"`{text}`")).otherwise(F.concat_ws("\n", kept))
-    columns = [F.when(F.col(f"`{text}`").isNotNull(), cleaned).alias(text) if c == text else F.col(f"`{c}`") for c in pages.columns]
+    kept = F.filter(_lines("text"), lambda x: ~F.array_contains(often, x))
+    cleaned = F.when(F.col("_site").isNull() | F.col("text").isNull(), F.col("text")).otherwise(F.concat_ws("\n", kept))
+    columns = [cleaned.alias(c) if c == text else F.col(f"page.`{c}`").alias(c) for c in pages.columns]
     if counts:
-        total = F.coalesce(F.size(_lines(text)), F.lit(0))
-        total = F.when(F.col(f"`{text}`").isNull(), 0).otherwise(total)
-        columns += [total.cast("long").alias("n_lines"), (total - F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.size(kept))).cast("long").alias("n_dropped")]
+        size = lambda lines: F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long")
+        columns += [size(_lines("text")).alias("n_lines"), (size(_lines("text")) - size(kept)).alias("n_dropped")]
     return joined.select(*columns)
 
 

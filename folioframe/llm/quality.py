@@ -174,7 +174,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 6000) -> Mac
     """Fits on at most `max_rows` labelled documents; rows with crc32(doc_id) mod 5 = 0 are held out."""
     known = labels.filter(F.col("quality").isin(0, 1) & (remainder("doc_id", 5) > 0)).select("doc_id", F.col("quality").cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_rows)
-    rows = _input_columns(docs.join(chosen, "doc_id"), "doc_id", "label")
+    plain = docs.select("doc_id", "text", *(["n_chars"] if "n_chars" in docs.columns else []))
+    rows = _input_columns(plain.join(chosen, "doc_id"), "doc_id", "label")
     schema = "doc_id string, label int, dense array<double>, bucket array<int>, value array<double>"
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
