@@ -112,6 +112,7 @@ MISSING_ON_DISK = 5
 # --- fixed values: attribute codes -----------------------------------------------------------
 TITLE_CODE = 245
 CREDIT_CODE = 508
+FIXED_008_TAIL = "utu|||||o|||||||||||||| d"
 SUMMARY_CODE = 520
 NOTE_CODE = 500
 IMPRINT_CODE = 260

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..fixed_values import FIXED_008_TAIL
+
 
 def clean_title(title: Column) -> Column:
     """Trimmed, with the white space around each line break removed."""
@@ -39,8 +41,7 @@ def iso_date(day: Column) -> Column:
 def fixed_field_008(asof: str, released: Column, published: Column) -> Column:
     """Run date, `r`, release year, year of the original or four bars, then the constant tail."""
     run_day = F.date_format(F.lit(asof).cast("date"), "yyMMdd")
-    tail = "utu" + "|" * 5 + "o" + "|" * 14 + " d"
-    return F.concat(run_day, F.lit("r"), F.date_format(released, "yyyy"), F.coalesce(published, F.lit("||||")), F.lit(tail))
+    return F.concat(run_day, F.lit("r"), F.date_format(released, "yyyy"), F.coalesce(published, F.lit("||||")), F.lit(FIXED_008_TAIL))
 
 
 def pretty_title(title: Column, authors: Column, room: int) -> Column:

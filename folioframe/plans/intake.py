@@ -42,10 +42,14 @@ def merge_workflow(meta: DataFrame, records: DataFrame) -> DataFrame:
     """Fills what the catalog lacks from a submission. Unknown books are ignored.
 
     Publication data comes as a whole, only if there is none; the language only with it, and only
-    over none or `en`.
+    over none or `en`. Of several submissions of a book the newest form counts, as `pick_newest` ranks paths (or the
+    last in order of its content where records have no path), so that a book has one row.
     """
-    sub = records.filter("valid").select(F.col("ebook").alias("pk"), *[F.col(c).alias(f"new_{c}") for c in (
-        "language", "publisher", "country", "years", "scan_urls", "request_key", "credit")])
+    fields = ("language", "publisher", "country", "years", "scan_urls", "request_key", "credit")
+    newest = (submission_rank(F.col("path"), F.col("ebook")), F.col("path")) if "path" in records.columns else ()
+    order = F.struct(*newest, *fields)
+    picked = records.filter("valid").groupBy(F.col("ebook").alias("pk")).agg(F.max_by(F.struct(*fields), order).alias("new"))
+    sub = picked.select("pk", *[F.col(f"new.{c}").alias(f"new_{c}") for c in fields])
     has_pub = F.coalesce(F.nullif(F.col("publisher"), F.lit("")), F.nullif(F.col("country"), F.lit(""))).isNotNull()
     given = lambda name: F.nullif(F.col(f"new_{name}"), F.lit(""))
     lang_open = ~has_pub & (F.col("first_language").isNull() | (F.col("first_language") == "en"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import (
+    EASE_FORMULAS,
     MODEL_TAG,
     NOTE_CODE,
     OPENING_TOKENS,
@@ -36,6 +37,7 @@ from ..functions.titles import pretty_title
 from ..operators.lists import ordered_list
 from ..operators.scans import scan_attributes
 from ..profile import DEFAULT, LibraryProfile
+from ..sinks.snapshots import append_attributes, upsert_attribute
 from .catalog_feed import main_languages
 
 
@@ -55,13 +57,13 @@ def with_score(stats: DataFrame) -> DataFrame:
 def readability_scores(texts: DataFrame, categories: DataFrame, existing: DataFrame) -> DataFrame:
     """What to do with the score attribute of each text book: insert, replace, delete, or nothing.
 
-    `existing` holds attribute rows; books in a language without constants lose a stale score.
+    `existing` holds attribute rows; books in a language without a formula lose a stale score.
     """
     kept = texts.join(categories.select("fk_books"), "fk_books", "left_anti")
     lang = F.coalesce(F.col("lang"), F.lit("en"))
     scored = with_score(text_stats(kept.select("fk_books", lang.alias("lang"), without_wrapper(F.col("text")).alias("text"))))
     old = scan_attributes(existing, SCORE_CODE).groupBy("fk_books").agg(F.min("pk").alias("old_pk"))
-    supported, has_old = F.col("lang").isin(*SCORED_LANGUAGES), F.col("old_pk").isNotNull()
+    supported, has_old = F.col("lang").isin(*EASE_FORMULAS), F.col("old_pk").isNotNull()
     action = (
         F.when(~supported & has_old, "delete")
         .when(~supported | F.col("score").isNull(), "none")
@@ -132,6 +134,23 @@ def is_refusal(summary: Column) -> Column:
     return test
 
 
+def apply_summaries(attributes: DataFrame, finished: DataFrame) -> DataFrame:
+    """Attributes after storing finished summaries (fk_books, kind, text, lang, title; kind is WIKI or LLM).
+
+    Refused and empty ones are dropped, the others get the tag of their kind and become the book's summary. The link of
+    an article that is not noted yet is added once, as a note; lang and title are null for a summary without one.
+    Several summaries of a book: the article's before the model's, then the first in order.
+    """
+    text = F.trim(F.coalesce("text", F.lit("")))
+    good = finished.filter((text != "") & ~is_refusal(text))
+    best = F.min_by(F.struct("kind", text.alias("text")), F.struct(F.col("kind") != "WIKI", text)).alias("best")
+    tagged = good.groupBy("fk_books").agg(best).select("fk_books", F.concat("best.text", F.when(F.col("best.kind") == "WIKI", WIKI_TAG).otherwise(MODEL_TAG)).alias("text"))
+    stored = upsert_attribute(attributes, tagged, SUMMARY_CODE)
+    linked = good.filter((F.col("kind") == "WIKI") & F.col("lang").isNotNull() & F.col("title").isNotNull()).select("fk_books", "lang", "title").distinct()
+    fresh = new_links(linked, wiki_links(attributes)).select("fk_books", link_note(F.col("lang"), F.col("title")).alias("text"))
+    return append_attributes(stored, fresh, NOTE_CODE)
+
+
 @dataclass(frozen=True)
 class Prompts:
     """Wording of the requests; replace it with your own. `{title}` and `{excerpt}` are filled in."""

@@ -13,6 +13,7 @@ class LibraryProfile:
     site: str = "https://library.example.org/"
     mail_domain: str = "library.example.org"
     terms_uri: str = "https://library.example.org/terms/"
+    terms_prefix: str = "libterms"
     agents_uri: str = "https://library.example.org/agents/"
     licence_uri: str = "https://creativecommons.org/publicdomain/zero/1.0/"
     staff_tag: str = " (Summary by library staff.)"

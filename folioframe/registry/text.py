@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..fixed_values import EASE_FORMULAS, SCORE_BANDS, SYLLABLE_PATTERN, SENTENCE_PATTERN, WORD_PATTERN
+from ..fixed_values import EASE_FORMULAS, MODEL_TAG, REFUSAL_STARTS, SCORE_BANDS, SENTENCE_PATTERN, SYLLABLE_PATTERN, WIKI_CAPTION, WIKI_TAG, WORD_PATTERN
 from ..functions import texts
 from ..plans import catalog_feed, inventory, reading
 from .base import Entry
@@ -87,10 +87,27 @@ def _old_scores(c):
 
 def _messages(c):
     text, line = texts.without_wrapper(F.col("raw")), F.concat(F.lit("Book "), F.col("fk_books"))
-    both = F.concat(reading.summary_messages(line, text, 300), reading.check_messages(line, F.substring("raw", 1, 20)))
+    both = F.concat(reading.summary_messages(line, text, 300), reading.check_messages(line, F.col("raw")))
     return c["v_wrapped_texts"].select("fk_books", F.posexplode(both).alias("pos", "message")).select("fk_books", "pos", "message.*")
 
 
+def _finished(c):
+    """Summaries as they come back: one of three from an article, some refused, some empty."""
+    book = F.col("pk")
+    text = F.when(book % 7 == 0, F.lit(REFUSAL_STARTS[0] + " no")).when(book % 11 == 0, F.lit(" ")).otherwise(F.concat(F.lit("On book "), book))
+    wiki = book % 3 == 0
+    return c["v_books"].select(book.alias("fk_books"), F.when(wiki, "WIKI").otherwise("LLM").alias("kind"), text.alias("text"), F.when(wiki, "en").alias("lang"), F.when(wiki, F.concat(F.lit("Book_"), book)).alias("title"))
+
+
+APPLIED = f"""done AS (SELECT pk AS fk_books, pk % 3 = 0 AS wiki, concat('On book ', pk, CASE WHEN pk % 3 = 0 THEN '{WIKI_TAG}' ELSE '{MODEL_TAG}' END) AS text
+  FROM {{{{v_books}}}} WHERE pk % 7 <> 0 AND pk % 11 <> 0),
+held AS (SELECT *, row_number() OVER (PARTITION BY fk_books, fk_attriblist ORDER BY pk, text) AS rn FROM {{{{v_attributes}}}})
+SELECT h.fk_books, h.fk_attriblist, CASE WHEN h.fk_attriblist = 520 AND rn = 1 THEN coalesce(d.text, h.text) ELSE h.text END AS text, h.nonfiling FROM held h LEFT JOIN done d USING (fk_books)
+UNION ALL SELECT fk_books, 520, text, 0 FROM done WHERE fk_books NOT IN (SELECT fk_books FROM held WHERE fk_attriblist = 520)
+UNION ALL SELECT fk_books, 500, concat('{WIKI_CAPTION}: https://en.wikipedia.org/wiki/Book_', fk_books), 0 FROM done WHERE wiki
+  AND concat('{WIKI_CAPTION}: https://en.wikipedia.org/wiki/Book_', fk_books) NOT IN (SELECT text FROM {{{{v_attributes}}}} WHERE fk_attriblist = 500)"""
+
+
 ENTRIES: dict[str, Entry] = {
     "fn_strip_wrapper": Entry(
         lambda c: c["v_wrapped_texts"].select("fk_books", texts.without_wrapper(F.col("raw")).alias("text")), f"WITH {BODY} SELECT fk_books, text FROM body"
@@ -110,7 +127,10 @@ ENTRIES: dict[str, Entry] = {
         UNION ALL SELECT fk_books, 2, 'assistant', '{_P.reply}' FROM parts
         UNION ALL SELECT fk_books, 3, 'user', CASE WHEN partial THEN concat('START OF BOOK BEGINNING: ', chr(10), opening, chr(10), 'END OF BOOK BEGINNING') ELSE concat('START OF BOOK: ', chr(10), text, chr(10), 'END OF BOOK') END FROM parts
         UNION ALL SELECT fk_books, 4, 'system', '{_P.check_system}' FROM parts
-        UNION ALL SELECT fk_books, 5, 'user', replace(replace('{_P.check}', '{{title}}', concat('Book ', fk_books)), '{{excerpt}}', left(raw, 20)) FROM {{{{v_wrapped_texts}}}}""",
+        UNION ALL SELECT fk_books, 5, 'user', replace(replace('{_P.check}', '{{title}}', concat('Book ', fk_books)), '{{excerpt}}', raw) FROM {{{{v_wrapped_texts}}}}""",
+    ),
+    "apply_summaries": Entry(
+        lambda c: reading.apply_summaries(c["v_attributes"], _finished(c)).select("fk_books", "fk_attriblist", "text", "nonfiling"), f"WITH {APPLIED}"
     ),
     "fn_parse_verdict": Entry(_answers, "SELECT conv_id, turn, role, role = 'user' AS valid FROM {{conversations}}"),
     "agg_readability_stats": Entry(

@@ -21,6 +21,7 @@ def build_session(app: str = "folioframe", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
         **conf,
     }
     for key, value in settings.items():
@@ -29,10 +30,12 @@ def build_session(app: str = "folioframe", master: str | None = None, **conf: st
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder named by `spark.checkpoint.dir`; a temporary one only where that is unset."""
+    """Shared folder named by `spark.checkpoint.dir`; a temporary one only where that is unset and all runs on one machine."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _SCRATCH:
         _SCRATCH[app] = tempfile.mkdtemp(prefix="folioframe-")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranking import number_ids
@@ -36,6 +36,19 @@ def upsert_attribute(attributes: DataFrame, changes: DataFrame, code: int) -> Da
     return rest.select(*columns).unionByName(kept.select(*columns)).unionByName(new)
 
 
+def append_attributes(attributes: DataFrame, rows: DataFrame, code: int) -> DataFrame:
+    """Attributes with a row added for each of `rows` (fk_books, text), numbered after the highest in order of book and text."""
+    columns = ("pk", "fk_books", "fk_attriblist", "text", "nonfiling")
+    books = number_ids(rows.select("fk_books"), "fk_books", "_place")
+    most = rows.groupBy("fk_books").agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).scalar()
+    inside = F.row_number().over(Window.partitionBy("fk_books").orderBy("text")) - 1
+    top = F.coalesce(attributes.agg(F.max("pk")).scalar(), F.lit(0))
+    number = (top + 1 + F.col("_place") * F.coalesce(most, F.lit(1)) + F.col("_at")).cast("bigint").alias("pk")
+    new = rows.withColumn("_at", inside).join(books, "fk_books")
+    new = new.select(number, "fk_books", F.lit(code).alias("fk_attriblist"), "text", F.lit(0).alias("nonfiling"))
+    return attributes.select(*columns).unionByName(new.select(*columns))
+
+
 def upsert_files(files: DataFrame, scanned: DataFrame, retired: DataFrame) -> DataFrame:
     """Files after storing `scanned` and dropping the paths of `retired`; of a path the latest row holds."""
     columns = files.columns
