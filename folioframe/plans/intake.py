@@ -193,10 +193,11 @@ def creditless(attributes: DataFrame) -> DataFrame:
 
 
 def fill_credits(attributes: DataFrame, categories: DataFrame, cands: DataFrame, texts: DataFrame) -> DataFrame:
-    """Credits to add for creditless text books, read from the best source's text (fk_books, raw)."""
+    """Credits to add for creditless text books, read from the text of the best source: `texts` is (fk_books, path, raw)."""
     sources = best_sources(cands).select("fk_books", F.coalesce("html_first", "text_first").alias("source"))
     open_books = creditless(attributes).join(categories.select("fk_books"), "fk_books", "left_anti")
     chosen = open_books.join(sources.filter(F.col("source").isNotNull()), "fk_books")
     credit = header_fields(F.col("raw"))["credit"]
-    found = texts.select("fk_books", credit.alias("text")).filter(F.col("text") != "")
-    return chosen.join(found, "fk_books").select("fk_books", F.lit(CREDIT_CODE).alias("fk_attriblist"), "text", F.col("source.archive_path").alias("source_path"))
+    found = texts.select("fk_books", F.col("path").alias("_path"), credit.alias("text")).filter(F.col("text") != "")
+    keyed = chosen.withColumn("_path", F.col("source.archive_path")).join(found, ["fk_books", "_path"])
+    return keyed.select("fk_books", F.lit(CREDIT_CODE).alias("fk_attriblist"), "text", F.col("source.archive_path").alias("source_path"))

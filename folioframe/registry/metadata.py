@@ -99,6 +99,13 @@ def _header_rows(c):
     return intake.header_rows(c["v_header_files"])
 
 
+def _file_texts(c):
+    """A text for each candidate file of a book, whose credit names the file."""
+    raw = F.regexp_replace("raw", F.lit("(Helper src[0-9]+)"), F.concat(F.lit("$1 of "), F.col("path")))
+    files = candidates(c["v_files"]).select("fk_books", F.col("archive_path").alias("path")).distinct()
+    return files.join(c["v_wrapped_texts"], "fk_books").select("fk_books", "path", raw.alias("raw"))
+
+
 def _arrivals(c):
     return c["events"].filter(F.col("event_type") == "signup").select(F.concat("user_id", F.lit(".json")).alias("name"), F.col("event_id").alias("seq"))
 
@@ -232,9 +239,9 @@ ENTRIES: dict[str, Entry] = {
     ),
     "anti_creditless": Entry(lambda c: intake.creditless(c["v_attributes"]), _creditless_sql("SELECT fk_books FROM creditless ORDER BY fk_books DESC")),
     "fill_credits": Entry(
-        lambda c: intake.fill_credits(c["v_attributes"], c["v_categories"], candidates(c["v_files"]), c["v_wrapped_texts"]),
+        lambda c: intake.fill_credits(c["v_attributes"], c["v_categories"], candidates(c["v_files"]), _file_texts(c)),
         _creditless_sql(f""", {CANDS}, {GLOBS}, {RANKED}
-        SELECT r.fk_books, 508 AS fk_attriblist, concat('Helper ', source) AS text, r.archive_path AS source_path FROM ranked r JOIN creditless USING (fk_books) JOIN {{{{documents}}}} ON doc_id = r.fk_books
+        SELECT r.fk_books, 508 AS fk_attriblist, concat('Helper ', source, ' of ', r.archive_path) AS text, r.archive_path AS source_path FROM ranked r JOIN creditless USING (fk_books) JOIN {{{{documents}}}} ON doc_id = r.fk_books
         WHERE family = 'html_first' AND place = 1 AND source < 'src15' AND r.fk_books NOT IN (SELECT fk_books FROM {{{{v_categories}}}})"""),
     ),
 }

@@ -18,7 +18,8 @@ BODY = """bodies AS (
       FROM (SELECT fk_books, lang, string_split(raw, chr(10)) AS lines FROM {{v_wrapped_texts}})))),
 body AS (SELECT fk_books, lang, regexp_replace(inner_text, '^\\s+|\\s+$', '', 'g') AS text FROM bodies)"""
 ENTITY_SQL = "{0}"
-for _entity, _char in texts.ENTITIES.items():
+# the references that the pages hold, the ampersand last
+for _entity, _char in {"&copy;": "©", "&middot;": "·", **texts.ENTITIES}.items():
     ENTITY_SQL = f"replace({ENTITY_SQL}, '{_entity}', '{_char.replace(chr(39), chr(39) * 2)}')"
 HTML = ENTITY_SQL.format(r"regexp_replace(regexp_replace(html, '(?is)^.*<body[^>]*>', ''), '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>', '', 'g')")
 WORDS = r"([t FOR t IN regexp_split_to_array({0}, '\s+') IF t <> ''])"

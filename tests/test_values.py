@@ -258,3 +258,13 @@ def test_jpeg_size():
     frame = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xc0\x00\x0b\x08\x00\x10\x00\x20\x03\x01\x11\x00"
     assert _jpeg_size(frame) == (32, 16)
     assert _jpeg_size(b"\xff\xd8\xff") == (None, None)
+
+
+def test_html_text_as_a_parser_sees_it(spark):
+    pages = [
+        "<html><head><script>var x = '<body>';</script></head><body class='a'>He said &#8217;hi&#8217; &#x2014; caf&eacute; &hellip; &amp;lt; A&B &unknown; &#xD800;</body></html>",
+        "<body>one<body>two", "no body &amp; no tags", "<p>kept</p><script>never closed", "a<!-- never closed", "", None,
+    ]
+    rows = spark.createDataFrame(list(enumerate(pages)), "id int, html string").select("id", texts.html_body_text(F.col("html")).alias("t"))
+    found = [r.t for r in rows.orderBy("id").collect()]
+    assert found == ["He said ’hi’ — café … &lt; A&B &unknown; �", "onetwo", "no body & no tags", "kept", "a", "", None]
