@@ -37,7 +37,7 @@ FIXED_008 = "concat('240630', 'r', strftime(release_date, '%Y'), coalesce(publis
 FIRST_DATED = """dated AS (
   SELECT fk_books, arg_min(text, (pk, text)) FILTER (WHERE fk_attriblist = 906) AS published, arg_min(text, (pk, text)) FILTER (WHERE fk_attriblist = 260) AS imprint
   FROM {{v_attributes}} WHERE fk_attriblist IN (260, 906) GROUP BY 1)"""
-CHOSEN = """chosen AS (SELECT pk, release_date FROM {{v_books}} WHERE pk <> 99999 AND pk NOT IN (SELECT fk_books FROM {{v_categories}}))"""
+CHOSEN = """chosen AS (SELECT pk, release_date FROM {{v_books}} WHERE pk >= 1 AND pk <> 99999 AND pk NOT IN (SELECT fk_books FROM {{v_categories}}))"""
 HEADED = """headed AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY fk_books ORDER BY heading, fk_authors) = 1 THEN '100' ELSE '700' END AS tag FROM {{v_book_authors}})"""
 _ATT = "\n  UNION ALL ".join(
     f"SELECT fk_books AS pk, '{tag}' AS tag, 0 AS grp, pk AS ord, concat('{ind[0]}', {'coalesce(nonfiling, 0)' if ind[1] == 'n' else repr(ind[1])}) AS ind, "
