@@ -231,7 +231,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     found = staged(links(first, sizes, docs, owners), "links")
     provisional = components(found)
 
-    placed = entries.join(provisional, "node", "left").select("key", "node", "n", "core", F.coalesce("component", "node").alias("component"))
+    # a list's pivot has met all its members
+    placed = entries.filter("node <> pivot").join(provisional, "node", "left").select("key", "node", "n", "core", F.coalesce("component", "node").alias("component"))
     open_lists = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
     bits = [F.col("short")[k].alias(f"p{k}") for k in range(WORDS64)]
     placed = staged(placed.join(open_lists, "key", "left_semi").join(sizes.select("node", *bits), "node"), "open-lists")
