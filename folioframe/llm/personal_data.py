@@ -6,8 +6,8 @@ at most `LONGEST` characters, described by features of the segment as a whole (p
 after spelled separators are read as signs. Each cluster of candidates is a small lattice; dynamic programming over it
 picks the set of segments and kinds with the greatest sum of weights, outside scoring 0.
 
-It is trained on the corpus itself: base spans are the labels, and segments with shifted ends, failing numbers and the
-other kinds are what they compete with; weights follow the gradient of the log likelihood (forward and backward sums
+It is trained on the corpus itself: base spans are the labels, and segments with shifted ends, failing or spoilt numbers
+and the other kinds are what they compete with; weights follow the gradient of the log likelihood (forward and backward sums
 over the lattice). Training reads at most `max_rows` documents, those with the least hash of the id.
 
 A null text counts as empty. Spans are code points, end exclusive, sorted by start, then kind, then end. The counts by
@@ -280,7 +280,7 @@ class Field:
                             math.exp(min(0.0, forward[j][u] + self.turns[u][t] + scores[i][t] + backward[i][t] - total))
                             for i in range(len(segments)) for j in range(i) if segments[j][1] <= segments[i][0]
                         )
-                        slope = held - pairs - decay * self.turns[u][t]
+                        slope = held - pairs - 100 * decay * self.turns[u][t]  # few neighbours are seen: a strong pull to 0
                         if abs(slope) > 1e-4:
                             seen[u, t] += slope * slope
                             self.turns[u][t] += rate * slope / math.sqrt(seen[u, t])
@@ -301,6 +301,12 @@ def examples(text: str) -> list[tuple[list[tuple[int, int]], list[list[str]], di
     for group in clusters(list(found)):
         group = group[:24]
         out.append((group, [features(text, *s) for s in group], {i: kind_of[s] for i, s in enumerate(group) if s in kind_of}))
+    for s, e, kind in base:  # the same place with a spoilt number, which is nothing
+        if kind == "card":
+            spoilt = text[: e - 1] + str((int(text[e - 1]) + 1) % 10) + text[e:]
+            out.append(([(s, e)], [features(spoilt, s, e)], {}))
+        elif kind == "ip":
+            out.append(([(s, e + 3)], [features(text[:s] + "999" + text[s:], s, e + 3)], {}))
     return out
 
 

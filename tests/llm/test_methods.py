@@ -100,10 +100,10 @@ def test_base_spans_equal_the_patterns():
 
 
 def test_field_adds_what_patterns_miss(spark):
-    texts = ["mail ann.lee@host.example.org or +1 (017) 555-7713", "card 4845168114407329 at 97.51.17.173", "no 4845168114407321 nor 300.2.3.4 here", "9807915762804490 paid, write bo@x.org", "call +44 20 7946 0958 now"] * 8
-    model = personal_data.fit_field(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    model = personal_data.fit_field(table(spark, SMALL, "documents"))
     found = lambda t: [(t[s:e], k) for s, e, k in personal_data.ordered(model.added(t, personal_data.base_spans(t)))]
-    assert found("pay 4845168114407329 9807915762804490 now") == [("4845168114407329", "card"), ("9807915762804490", "card")]
+    assert found("pay 4845168114407329 4524132264652876 now") == [("4845168114407329", "card"), ("4524132264652876", "card")]
+    assert found("pay 4845168114407329 9807915762804490 now") == [("4845168114407329", "card")]
     assert found("write john dot smith at mail dot example dot com") == [("john dot smith at mail dot example dot com", "email")]
     assert found("we were at home. The dot is here") == [] and found("in 2019 there were 300 of 4000") == []
 
