@@ -139,7 +139,7 @@ def _attribute_changes(c):
 def _upserted(c):
     store = snapshots.SnapshotTable(c.spark, scratch_path(c.spark, "attributes"))
     store.replace(snapshots.upsert_attribute(c["v_attributes"], _attribute_changes(c), 520))
-    return store.read().filter(F.col("fk_attriblist").isin(520, 500)).select("fk_books", "fk_attriblist", "text", "nonfiling")
+    return store.read().select("fk_books", "fk_attriblist", "text", "nonfiling")
 
 
 def _scanned(c):
@@ -213,7 +213,7 @@ ENTRIES: dict[str, Entry] = {
         """WITH firsts AS (SELECT *, row_number() OVER (PARTITION BY fk_books ORDER BY pk, text) AS rn FROM {{v_attributes}} WHERE fk_attriblist = 520)
         SELECT fk_books, fk_attriblist, CASE WHEN rn = 1 THEN concat('New summary ', fk_books) ELSE text END AS text, nonfiling FROM firsts JOIN {{v_books}} b ON b.pk = fk_books WHERE rn > 1 OR downloads > 100000
         UNION ALL SELECT b.pk, 520, concat('New summary ', b.pk), 0 FROM {{v_books}} b WHERE downloads > 100000 AND b.pk NOT IN (SELECT fk_books FROM firsts)
-        UNION ALL SELECT fk_books, fk_attriblist, text, nonfiling FROM {{v_attributes}} WHERE fk_attriblist = 500""",
+        UNION ALL SELECT fk_books, fk_attriblist, text, nonfiling FROM {{v_attributes}} WHERE fk_attriblist <> 520""",
     ),
     "upsert_files": Entry(
         lambda c: snapshots.upsert_files(c["v_files"], _scanned(c), _retired(c)).select("archive_path", "modified", "extent"),
