@@ -18,7 +18,7 @@ from folioframe.llm.decontamination import without_leaks
 from folioframe.llm.jaccard_join import one_of_each
 from folioframe.llm.line_dedup import drop_boilerplate
 from folioframe.llm.quality import THRESHOLD, fit_quality, score_quality
-from folioframe.llm.unigram_pieces import decode, encode
+from folioframe.llm.unigram_pieces import encode
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +44,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their piece ids, and whether decoding gives the text back."""
-    text = unused(docs, "decoded")
-    return decode(encode(docs), into=text).withColumn("restored", F.col(text) == F.coalesce("text", F.lit(""))).drop(text)
+    return encode(docs, check="restored")
 
 
 STAGES = [

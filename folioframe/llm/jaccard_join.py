@@ -69,7 +69,7 @@ def parity(rows: np.ndarray, hashes: np.ndarray, words: np.ndarray) -> np.ndarra
 
 def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingles that four texts of a batch hold; one that is frequent anywhere is found in some batch."""
-    for batch in parts(batches, most=16 << 20):
+    for batch in parts(batches, most=12 << 20):
         hashes = np.sort(sets_of(batch.column("text"))[1])
         starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
         counts = np.diff(np.concatenate([starts, [len(hashes)]]))

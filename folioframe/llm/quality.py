@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import coded, flat_words, hashed, parts, remainder, text_column, widened
+from .common import coded, flat_words, hashed, parts, remainder, widened
 
 BUCKETS = 1 << 16
 FACTORS = 8
@@ -161,21 +161,22 @@ def fit(dense: np.ndarray, row: np.ndarray, bucket: np.ndarray, value: np.ndarra
 
 
 def _inputs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    return structure(batch.column("text"), batch.column("length").to_numpy(zero_copy_only=False).astype(float))
+    texts = batch.column("text").cast(pa.string()).fill_null("")
+    length = pc.utf8_length(texts).cast(pa.int64())
+    if "n_chars" in batch.schema.names:
+        length = pc.coalesce(batch.column("n_chars").cast(pa.int64()), length)
+    return structure(texts, length.to_numpy(zero_copy_only=False).astype(float))
 
 
-def _input_columns(docs: DataFrame, *more: str) -> DataFrame:
-    text = text_column()
-    length = F.coalesce(F.col("n_chars").cast("long"), F.length(text)) if "n_chars" in docs.columns else F.length(text)
-    return docs.select(*more, text.alias("text"), length.cast("long").alias("length"))
+def _input_columns(docs: DataFrame, *more: str) -> list[str]:
+    return [*more, "text", *(["n_chars"] if "n_chars" in docs.columns else [])]
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 6000) -> Machine:
     """Fits on at most `max_rows` labelled documents; rows with crc32(doc_id) mod 5 = 0 are held out."""
     known = labels.filter(F.col("quality").isin(0, 1) & (remainder("doc_id", 5) > 0)).select("doc_id", F.col("quality").cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_rows)
-    plain = docs.select("doc_id", "text", *(["n_chars"] if "n_chars" in docs.columns else []))
-    rows = _input_columns(plain.join(chosen, "doc_id"), "doc_id", "label")
+    rows = docs.select(_input_columns(docs, "doc_id")).join(chosen, "doc_id")
     schema = "doc_id string, label int, dense array<double>, bucket array<int>, value array<double>"
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,20 +205,16 @@ def score_quality(docs: DataFrame, model: Machine, into: str = "score") -> DataF
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = docs.drop(into)
     schema = widened(kept, into, "double")
-    length = F.coalesce(F.col("n_chars").cast("long"), F.length(text_column())) if "n_chars" in docs.columns else F.length(text_column())
-    packed = kept.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row"), text_column().alias("text"), length.cast("long").alias("length"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
-            scores = pa.array(shared.value.score(*_inputs(batch)))
-            yield pa.RecordBatch.from_arrays([*batch.column("row").flatten(), scores], names=[f.name for f in schema])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shared.value.score(*_inputs(batch)))], names=[f.name for f in schema])
 
-    return packed.mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema)
 
 
 def predict_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 6000) -> DataFrame:
     """doc_id, held_out, score and predicted (1 if score >= 0.3) of every row of `docs`."""
     model = fit_quality(docs, labels, max_rows)
-    rows = docs.select("doc_id", "text", *(["n_chars"] if "n_chars" in docs.columns else []))
-    scored = score_quality(rows, model)
+    scored = score_quality(docs.select(_input_columns(docs, "doc_id")), model)
     return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

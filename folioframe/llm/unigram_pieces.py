@@ -305,18 +305,25 @@ def shared_pieces(spark: SparkSession, model_path: str | None) -> Broadcast:
     return spark.sparkContext.broadcast(load_pieces(model_path))
 
 
-def encode(docs: DataFrame, column: str = "text", into: str = "piece_ids", model_path: str | None = None) -> DataFrame:
-    """Adds the ids of `column` as an array of ints, beside all columns of `docs`."""
+def encode(docs: DataFrame, column: str = "text", into: str = "piece_ids", model_path: str | None = None, check: str | None = None) -> DataFrame:
+    """Adds the ids of `column` as an array of ints, beside all columns of `docs`; with `check`, a boolean column of that
+    name too, whether decoding the ids gives the text back."""
     model = shared_pieces(docs.sparkSession, model_path)
-    schema = widened(docs.drop(into), into, "array<int>")
+    kept = docs.drop(into, *([check] if check else []))
+    schema = widened(kept, into, "array<int>")
+    if check:
+        schema.add(check, "boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, column):
             ids, offsets = encode_batch(model.value, batch.column(column))
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, into])
+            more = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))]
+            if check:
+                texts = batch.column(column).fill_null("").to_pylist()
+                more.append(pa.array([a == b for a, b in zip(decode_batch(model.value, ids, offsets), texts, strict=True)], pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[f.name for f in schema])
 
-    return docs.drop(into).mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema)
 
 
 def decode(rows: DataFrame, column: str = "piece_ids", into: str = "decoded", model_path: str | None = None) -> DataFrame:
