@@ -28,8 +28,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the boilerplate lines of their source; n_chars follows the text."""
-    return drop_boilerplate(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    """All documents, without the boilerplate lines of their source; n_chars follows the text. Copies of a document count
+    as one page, so that its body is still there when the next stage chooses among them."""
+    return drop_boilerplate(docs, copies_once=True).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

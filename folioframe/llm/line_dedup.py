@@ -7,6 +7,11 @@ functions only. Each page counts a line once, counts are combined before the shu
 
 Blank lines are neither counted nor dropped. Rows without a site or text stay as they are, and so do rows of which
 nothing is left but empty text. Repeated rows are pages of their own. Columns beside the site and text are untouched.
+
+With `copies_once` all copies and near copies of one text in a site (components of the Jaccard join) count as one page,
+so that a page's own body is never boilerplate because of its copies. Lines are first counted by rows; the join then
+covers the pages that hold a line which could still pass, that is one above half of `max_ratio` of the distinct texts.
+So near copies lessen a site's number of pages where they hold such a line, by at most half of its distinct texts.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged
+from .jaccard_join import jaccard_components
 
 
 def _lines(text: str) -> Column:
@@ -31,9 +37,33 @@ def boilerplate(pages: DataFrame, site: str, text: str, max_ratio: float, min_pa
     return often.groupBy("_site").agg(F.collect_set("_line").alias("_boilerplate"))
 
 
-def drop_boilerplate(pages: DataFrame, site: str = "source", text: str = "text", max_ratio: float = 0.1, min_pages: int = 5, counts: bool = False) -> DataFrame:
+def boilerplate_of_groups(pages: DataFrame, site: str, text: str, max_ratio: float, min_pages: int) -> DataFrame:
+    """As `boilerplate`, with copies and near copies in a site counted as one page."""
+    plain = F.col(f"`{text}`").cast("string")
+    named = pages.filter(F.col(f"`{site}`").isNotNull()).select(F.col(f"`{site}`").alias("_site"), plain.alias("_text"), F.md5(plain).alias("_digest"))
+    totals = staged(named.select("_site", "_digest").distinct().groupBy("_site").agg(F.count("*").alias("_texts")), "site-texts")
+    distinct = F.filter(F.array_distinct(_lines("_text")), lambda x: F.trim(x) != "")
+    counts = named.select("_site", F.explode(distinct).alias("_line")).groupBy("_site", "_line").agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_pages)
+    maybe = counts.join(totals, "_site").filter(F.col("_n") > max_ratio / 2 * F.col("_texts"))
+    maybe = staged(maybe.groupBy("_site").agg(F.collect_set("_line").alias("_maybe")), "boilerplate-candidates")
+    held = named.join(maybe, "_site").withColumn("_held", F.filter(distinct, lambda x: F.array_contains(F.col("_maybe"), x))).filter(F.size("_held") > 0)
+    held = staged(held.select("_site", "_digest", "_text", "_held").dropDuplicates(["_site", "_digest"]), "candidate-pages")
+    found = jaccard_components(held.select(F.col("_digest").alias("doc_id"), F.col("_text").alias("text")))
+    groups = found.select(F.col("doc_id").alias("_digest"), F.col("component_id").alias("_group")).dropDuplicates(["_digest"])
+    grouped = staged(held.select("_site", "_digest", "_held").join(groups, "_digest"), "candidate-groups")
+    fewer = grouped.groupBy("_site").agg((F.count("*") - F.count_distinct("_group")).alias("_fewer"))
+    once = grouped.select("_site", "_group", F.explode("_held").alias("_line")).distinct()
+    counts = once.groupBy("_site", "_line").agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_pages)
+    often = counts.join(totals, "_site").join(fewer, "_site").filter(F.col("_n") > max_ratio * (F.col("_texts") - F.col("_fewer")))
+    return often.groupBy("_site").agg(F.collect_set("_line").alias("_boilerplate"))
+
+
+def drop_boilerplate(
+    pages: DataFrame, site: str = "source", text: str = "text", max_ratio: float = 0.1, min_pages: int = 5, counts: bool = False, copies_once: bool = False
+) -> DataFrame:
     """`pages` with the boilerplate lines of their sites taken out of `text`; with `counts`, n_lines and n_dropped too."""
-    found = staged(boilerplate(pages, site, text, max_ratio, min_pages), "boilerplate")
+    find = boilerplate_of_groups if copies_once else boilerplate
+    found = staged(find(pages, site, text, max_ratio, min_pages), "boilerplate")
     whole = F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("page")  # so that no column clashes with ours
     rows = pages.select(whole, F.col(f"`{site}`").alias("site"), F.col(f"`{text}`").alias("text"))
     joined = rows.join(found, F.col("site") == F.col("_site"), "left")

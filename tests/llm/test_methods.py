@@ -237,3 +237,19 @@ def test_query_equals_sql(spark, key):
 
     total, _, problem = compare(spark, queries(), oracle_sql(), key, "0.001")
     assert not problem, problem
+
+
+@pytest.mark.parametrize("edited", [False, True])
+def test_pipeline_keeps_one_of_a_large_group_of_copies(spark, edited):
+    """A group of copies that is over a tenth of its source does not make its own lines boilerplate."""
+    body = [prose(k, 30) for k in range(500, 510)]
+    notice = "share this page with your friends"
+    rows = [(i, "\n".join([prose(1000 + i, 40), notice, prose(2000 + i, 40)]) if i % 4 == 0 else prose(i, 80), "en", "s", 100) for i in range(40)]
+    copies = [[*body[:k], body[k] + " new", *body[k + 1 :]] if edited else body for k in range(8)]
+    rows += [(100 + k, "\n".join(lines), "en", "s", 100) for k, lines in enumerate(copies)]
+    docs = documents(spark, rows)
+    cleaned = corpus_pipeline.staged(corpus_pipeline.line_dedup(spark, docs, SMALL), "cleaned")
+    texts = {r.doc_id: r.text for r in cleaned.collect()}
+    assert texts == {r[0]: r[1].replace(notice + "\n", "") for r in rows}
+    kept = {r.doc_id for r in corpus_pipeline.near_copies(spark, cleaned, SMALL).collect()}
+    assert kept == {*range(40), 100}
