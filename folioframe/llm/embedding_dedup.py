@@ -3,10 +3,11 @@
 Vectors are compared only within a label (and a dimension). Equal vectors become one node with a multiplicity, nodes of
 a label are dealt to shards of about `SHARD`, and each shard's graph is built once, in layers of which each holds an
 eighth of the one below. Every node queries every shard of its label: each unordered pair of shards is one row of work,
-searched both ways. A beam search walks down the layers; an audit of queries drawn by hash compares what it finds with
-all vectors of the shard, and beams double until the audit finds at least `RECALL` of the links. A query whose beam
-holds nothing but links is searched again with a wider one, so no group of links is cut off. A beam as wide as the
-shard means comparing with all of it.
+searched both ways. A beam search walks down the layers; queries drawn by hash are also compared with all vectors of
+the shard, until those that the beams settle have shown `LINKS` links, and beams double until they find at least
+`RECALL` of these. Where all queries together have fewer links, all of them have been compared with the whole shard. A
+query whose beam holds nothing but links is searched again with a wider one, so no group of links is cut off; each such
+round is audited anew among its own queries. A beam as wide as the shard means comparing with all of it.
 
 Every pair found is verified by its cosine in double precision. A pair of shards returns counts of links and a spanning
 forest of them, never all pairs of a group; the forests of all pairs are united to components.
@@ -31,7 +32,7 @@ from .components import components, contracted
 THRESHOLD = 0.93
 SHARD = 8192
 RECALL = 0.98
-AUDIT = 64
+LINKS = 256
 DEGREE = 24
 BLOCK = 256
 
@@ -142,39 +143,62 @@ def search(vectors: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]], que
     return beam(vectors, layers[0][1], queries, entry, width)
 
 
-def links_of(vectors: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]], queries: np.ndarray, keys: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query, node) that may link, by beams widened until the audit passes and no beam is full of links."""
+def links_of(
+    vectors: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]], queries: np.ndarray, keys: np.ndarray, threshold: float, same: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, node) that may link, by beams widened until the audit passes and no beam is full of links. With
+    `same` the queries are the vectors, and none links with itself."""
     near_enough = threshold - 1e-9
     n = len(vectors)
-    audited = np.argsort(mixed(keys.astype(np.int64).view(np.uint64)))[:AUDIT]
-    truth = queries[audited] @ vectors.T >= near_enough
-    width = 32
-    while width < n:
-        found = [search(vectors, layers, queries[audited[k : k + BLOCK]], width) for k in range(0, len(audited), BLOCK)]
-        hits = np.concatenate([(s >= near_enough).sum(axis=1) for _, s in found])
-        full = truth.sum(axis=1)
-        narrow = full >= width  # longer lists are searched again anyway
-        if np.minimum(hits, full)[~narrow].sum() >= RECALL * full[~narrow].sum():
-            break
-        width *= 2
-    left, a, b = np.arange(len(queries)), [], []
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+
+    def compared(rows: np.ndarray) -> np.ndarray:
+        """Numbers of all links of some queries, which go to the pairs found."""
+        good = queries[rows] @ vectors.T >= near_enough
+        if same:
+            good[np.arange(len(rows)), rows] = False
+        some, at = np.nonzero(good)
+        a.append(rows[some])
+        b.append(at)
+        return good.sum(axis=1)
+
+    def searched(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Nodes in the beams, which of them link, and whether a beam holds nothing else."""
+        ids, score = search(vectors, layers, queries[rows], width)
+        good = score >= near_enough
+        return ids, good & (ids != rows[:, None]) if same else good, good.all(axis=1)
+
+    left, width = np.argsort(mixed(keys.astype(np.int64).view(np.uint64))), 32
     while len(left):
-        again = []
-        for k in range(0, len(left), BLOCK):
-            rows = left[k : k + BLOCK]
+        full, hits, cut = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        while len(full) < len(left) and width < n:
+            if full.sum() < LINKS or len(hits) == len(full):
+                full = np.concatenate([full, compared(left[len(full) : len(full) + BLOCK])])
+            if full.sum() < LINKS:
+                continue
+            for k in range(len(hits), len(full), BLOCK):
+                _, good, wide = searched(left[k : min(k + BLOCK, len(full))])
+                hits, cut = np.concatenate([hits, good.sum(axis=1)]), np.concatenate([cut, wide])
+            if full[~cut].sum() < LINKS:  # what is cut is audited in its own round
+                continue
+            if np.minimum(hits, full)[~cut].sum() >= RECALL * full[~cut].sum():
+                break
+            width *= 2
+            hits, cut = hits[:0], cut[:0]
+        rest, again = left[len(full) :], [left[:0]]  # those drawn are settled
+        for k in range(0, len(rest), BLOCK):
+            rows = rest[k : k + BLOCK]
             if width >= n:
-                ids, score = np.tile(np.arange(n), (len(rows), 1)), queries[rows] @ vectors.T
-            else:
-                ids, score = search(vectors, layers, queries[rows], width)
-            good = score >= near_enough
-            cut = good.all(axis=1) & (width < n)
-            again.append(rows[cut])
-            some, at = np.nonzero(good & ~cut[:, None])
+                compared(rows)
+                continue
+            ids, good, wide = searched(rows)
+            again.append(rows[wide])
+            some, at = np.nonzero(good & ~wide[:, None])
             a.append(rows[some])
             b.append(ids[some, at])
         left = np.concatenate(again)
         width *= 4
-    return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    return np.concatenate(a), np.concatenate(b)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -221,7 +245,7 @@ def shard_links(row: dict, same: bool, threshold: float) -> tuple[np.ndarray, np
     keys_x, times_x, raw_x, layers_x = _loaded(row, "x")
     keys_y, times_y, raw_y, layers_y = (keys_x, times_x, raw_x, layers_x) if same else _loaded(row, "y")
     unit_x, unit_y = _unit(raw_x), _unit(raw_y)
-    a, b = links_of(unit_y, layers_y, unit_x, keys_x, threshold)  # x asks y
+    a, b = links_of(unit_y, layers_y, unit_x, keys_x, threshold, same)  # x asks y
     if same:
         a, b = np.minimum(a, b)[a != b], np.maximum(a, b)[a != b]
     else:

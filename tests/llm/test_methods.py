@@ -253,3 +253,20 @@ def test_pipeline_keeps_one_of_a_large_group_of_copies(spark, edited):
     assert texts == {r[0]: r[1].replace(notice + "\n", "") for r in rows}
     kept = {r.doc_id for r in corpus_pipeline.near_copies(spark, cleaned, SMALL).collect()}
     assert kept == {*range(40), 100}
+
+
+@pytest.mark.parametrize("copies", [0, 40])
+def test_audit_needs_links_to_pass(copies):
+    """Beams on a graph without edges find next to nothing; neither few links nor long lists let the audit pass."""
+    rng = np.random.default_rng(4)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    vectors = unit(rng.normal(size=(1200, 32)))
+    if copies:
+        vectors = unit(vectors[:30].repeat(copies, 0) + 0.005 * rng.normal(size=(1200, 32)))
+    queries = vectors if copies else unit(rng.normal(size=(1200, 32)))
+    queries[700:703] = vectors[10:13]
+    layers = [(np.arange(1200), np.full((1200, embedding_dedup.DEGREE), -1))]
+    a, b = embedding_dedup.links_of(vectors, layers, queries, np.arange(1200), 0.93)
+    true = set(zip(*(x.tolist() for x in np.nonzero(queries @ vectors.T >= 0.93)), strict=True))
+    found = set(zip(a.tolist(), b.tolist(), strict=True))
+    assert len(true) >= 3 and found <= true and len(found) >= 0.98 * len(true)
