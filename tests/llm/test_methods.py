@@ -13,7 +13,7 @@ from cases import documents, junk, prose
 
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
-from folioframe.llm import context_mixing, embedding_dedup, jaccard_join, personal_data, quality, token_counts, unigram_pieces
+from folioframe.llm import context_mixing, embedding_dedup, jaccard_join, language_id, personal_data, quality, token_counts, unigram_pieces
 from folioframe.llm.common import hashed, table
 
 SMALL = "/root/testdata/sf0.01"
@@ -270,3 +270,13 @@ def test_audit_needs_links_to_pass(copies):
     true = set(zip(*(x.tolist() for x in np.nonzero(queries @ vectors.T >= 0.93)), strict=True))
     found = set(zip(a.tolist(), b.tolist(), strict=True))
     assert len(true) >= 3 and found <= true and len(found) >= 0.98 * len(true)
+
+
+def test_language_is_the_same_whatever_is_sent_out(spark):
+    """Rare words and n-grams count as known ones: the share that decides what is sent out changes no score."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    few, all_ = (language_id.predict_languages(docs, language_id.learn_languages(docs, share)).collect() for share in (2e-3, 5e-6))
+    found = {r.doc_id: r for r in few}
+    assert len(found) == len(all_) and sum(r.lang_pred != "und" for r in all_) > 100
+    for r in all_:
+        assert found[r.doc_id].lang_pred == r.lang_pred and math.isclose(found[r.doc_id].score, r.score, rel_tol=1e-6, abs_tol=1e-12)
