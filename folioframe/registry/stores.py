@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import CATALOG_COLUMNS, IMAGE_COLUMNS
-from ..plans import inventory, outbox
+from ..plans import catalog_feed, inventory, outbox
 from ..session import scratch_path
 from ..sinks import snapshots, writers
+from ..sinks.bucket_store import BucketStore
 from ..sources.files import read_image_log
 from . import feeds
 from . import outbox as box
@@ -136,10 +137,41 @@ def _attribute_changes(c):
     return c["v_books"].select(F.col("pk").alias("fk_books"), text.alias("text"))
 
 
+BUCKETS = 16
+BOOK_TABLES = {
+    "books": ("v_books", "pk"),
+    "files": ("v_files", "fk_books"),
+    "terms": ("v_book_terms", "fk_books"),
+    "authors": ("v_book_authors", "fk_books"),
+    "categories": ("v_categories", "fk_books"),
+    "attributes": ("v_attributes", "fk_books"),
+}
+
+
+def _store(c, *names: str) -> BucketStore:
+    """A store with tables of the catalog, bucketed on the book."""
+    store = BucketStore(c.spark, scratch_path(c.spark, "store"))
+    change = store.begin()
+    for name in names:
+        view, key = BOOK_TABLES[name]
+        change.create(name, c[view], key, BUCKETS)
+    change.commit()
+    return store
+
+
+def _bucketed_catalog(c):
+    store = _store(c, "books", "terms", "authors", "attributes")
+    books, terms, links, attributes = (store.read(n) for n in ("books", "terms", "authors", "attributes"))
+    return catalog_feed.catalog(books, attributes, terms, links, c["v_authors"], colocated=True).toDF(*_NAMES)
+
+
 def _upserted(c):
-    store = snapshots.SnapshotTable(c.spark, scratch_path(c.spark, "attributes"))
-    store.replace(snapshots.upsert_attribute(c["v_attributes"], _attribute_changes(c), 520))
-    return store.read().select("fk_books", "fk_attriblist", "text", "nonfiling")
+    store = _store(c, "attributes")
+    change, changes = store.begin(), _attribute_changes(c)
+    whole = change.read("attributes")
+    change.rewrite("attributes", changes.select("fk_books"), lambda rows: snapshots.upsert_attribute(rows, changes, 520, whole))
+    change.commit()
+    return store.read("attributes").select("fk_books", "fk_attriblist", "text", "nonfiling")
 
 
 def _scanned(c):
@@ -151,18 +183,50 @@ def _retired(c):
     return c["v_files"].filter(F.col("diskstatus") == 5).select("archive_path").distinct()
 
 
-def _forgotten(c) -> DataFrame:
-    tables = {"books": (c["v_books"], "pk"), "files": (c["v_files"], "fk_books"), "terms": (c["v_book_terms"], "fk_books"), "authors": (c["v_book_authors"], "fk_books"), "categories": (c["v_categories"], "fk_books")}
-    gone = c["v_books"].filter(F.col("rights").startswith("Copyright")).select("pk")
-    left = snapshots.forget_books(tables, gone)
-    counted = [t.groupBy(F.col(tables[n][1]).alias("fk_books")).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(n)) for n, t in left.items()]
-    return reduce(DataFrame.unionByName, counted)
+def _files_after_scan(c):
+    """Files of scanned and retired paths change, in the buckets of those paths."""
+    store = BucketStore(c.spark, scratch_path(c.spark, "files"))
+    change = store.begin()
+    change.create("files", c["v_files"], "archive_path", BUCKETS)
+    change.commit()
+    change, scanned, retired = store.begin(), _scanned(c), _retired(c)
+    paths = scanned.select("archive_path").unionByName(retired)
+    change.rewrite("files", paths, lambda rows: snapshots.upsert_files(rows, scanned, retired))
+    change.commit()
+    return snapshots.upsert_files(store.read("files"), scanned.limit(0), retired.limit(0)).select("archive_path", "modified", "extent")
+
+
+CASCADE = {
+    "books": ("pk", "release_date", "downloads", "rights"),
+    "files": ("id", "archive_path", "fk_filetypes", "fk_encodings", "compression", "diskstatus", "obsoleted", "modified", "extent", "generated"),
+    "terms": ("kind", "pos", "value"),
+    "authors": ("fk_authors", "heading", "marcrel"),
+    "categories": ("category",),
+}
 
 
+def _forgotten(c) -> DataFrame:
+    """What is left in all tables after one change that deletes some books from each of them."""
+    store = _store(c, *CASCADE)
+    gone = c["v_books"].filter(F.col("rights").startswith("Copyright")).select("pk")
+    change = store.begin()
+    for name in CASCADE:
+        key = BOOK_TABLES[name][1]
+        change.rewrite(name, gone, lambda rows, name=name, key=key: snapshots.forget_books({name: (rows, key)}, gone)[name])
+    change.commit()
+    left = []
+    for name, columns in CASCADE.items():
+        shown = F.concat_ws("|", *[F.col(x).cast("string") for x in columns])
+        left.append(store.read(name).select(F.lit(name).alias("table_name"), F.col(BOOK_TABLES[name][1]).alias("fk_books"), shown.alias("content")))
+    return reduce(DataFrame.unionByName, left)
+
+
+_SHOWN = {"modified": "strftime(modified, '%Y-%m-%d %H:%M:%S')"}
 KEPT = "(SELECT pk FROM {{v_books}} WHERE rights LIKE 'Copyright%')"
 
 ENTRIES: dict[str, Entry] = {
     "write_catalog_csv": Entry(_catalog_back, CATALOG_SQL),
+    "join_bucketed_relations": Entry(_bucketed_catalog, CATALOG_SQL),
     "write_marcxml": Entry(
         _marcxml_back,
         f"WITH {MARC} SELECT pk, {LINES} AS content FROM marc GROUP BY pk",
@@ -216,7 +280,7 @@ ENTRIES: dict[str, Entry] = {
         UNION ALL SELECT fk_books, fk_attriblist, text, nonfiling FROM {{v_attributes}} WHERE fk_attriblist <> 520""",
     ),
     "upsert_files": Entry(
-        lambda c: snapshots.upsert_files(c["v_files"], _scanned(c), _retired(c)).select("archive_path", "modified", "extent"),
+        _files_after_scan,
         """WITH b AS (SELECT archive_path, modified, 0 AS fresh, extent, id, fk_filetypes FROM {{v_files}}
             UNION ALL SELECT archive_path, modified + INTERVAL '10' DAY, 1, extent + 1, id, fk_filetypes FROM {{v_files}} WHERE fk_filetypes = 'html'),
         r AS (SELECT *, row_number() OVER (PARTITION BY archive_path ORDER BY modified DESC, fresh DESC, extent DESC, id DESC) AS rn FROM b)
@@ -225,8 +289,9 @@ ENTRIES: dict[str, Entry] = {
     "delete_book_cascade": Entry(
         _forgotten,
         " UNION ALL ".join(
-            f"SELECT '{n}' AS table_name, {k} AS fk_books, CAST(count(*) AS BIGINT) AS n_rows FROM {{{{{v}}}}} WHERE {k} NOT IN {KEPT} GROUP BY 2"
-            for n, v, k in (("books", "v_books", "pk"), ("files", "v_files", "fk_books"), ("terms", "v_book_terms", "fk_books"), ("authors", "v_book_authors", "fk_books"), ("categories", "v_categories", "fk_books"))
+            f"SELECT '{n}' AS table_name, {BOOK_TABLES[n][1]} AS fk_books, concat_ws('|', {', '.join(_SHOWN.get(x, x) for x in columns)}) AS content "
+            f"FROM {{{{{BOOK_TABLES[n][0]}}}}} WHERE {BOOK_TABLES[n][1]} NOT IN {KEPT}"
+            for n, columns in CASCADE.items()
         ),
     ),
 }

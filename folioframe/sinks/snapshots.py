@@ -1,18 +1,22 @@
-"""Tables that change: parquet has no update in place, so each change is a new whole snapshot."""
+"""Changes of tables as functions of their rows, and whole snapshots of small ones; `bucket_store` changes parts of large ones."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranking import number_ids
+from .commits import names_in, publish
 
 
-def upsert_attribute(attributes: DataFrame, changes: DataFrame, code: int) -> DataFrame:
+def upsert_attribute(attributes: DataFrame, changes: DataFrame, code: int, whole: DataFrame | None = None) -> DataFrame:
     """Attributes after setting `code` on the books of `changes` (fk_books, text).
 
     The first row of the book with that code takes the text; without one a row is added; a null
-    text deletes the first row. Rows with other codes pass by untouched.
+    text deletes the first row. Rows with other codes pass by untouched. Where `attributes` is a part
+    of a table, `whole` is the table, after whose highest number new rows are numbered.
     """
     is_code = F.col("fk_attriblist") == code
     same_code = attributes.filter(is_code)
@@ -23,7 +27,7 @@ def upsert_attribute(attributes: DataFrame, changes: DataFrame, code: int) -> Da
     kept = joined.filter(~(hit & F.col("_new").isNull())).withColumn("text", F.when(hit, F.col("_new")).otherwise(F.col("text")))
     added = target.filter(F.col("_first").isNull() & F.col("_new").isNotNull())
     places = number_ids(added.select("fk_books"), "fk_books", "_place")
-    top = attributes.agg(F.max("pk")).scalar()
+    top = (attributes if whole is None else whole).agg(F.max("pk")).scalar()
     new = added.join(places, "fk_books").select(
         (F.coalesce(top, F.lit(0)) + 1 + F.col("_place")).alias("pk"),
         "fk_books",
@@ -73,24 +77,21 @@ def forget_books(tables: dict[str, tuple[DataFrame, str]], gone: DataFrame) -> d
 
 
 class SnapshotTable:
-    """Versions of one table under a folder. A version counts once Spark has marked it complete."""
+    """Versions of one table under a folder. A version is written aside and renamed when it is whole."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
     def _versions(self) -> list[int]:
-        jvm = self.spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.folder)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return []
-        names = [s.getPath() for s in fs.listStatus(root)]
-        done = [p for p in names if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-        return sorted(int(p.getName().split("-")[1]) for p in done)
+        names = [n for n in names_in(self.spark, self.folder) if n.startswith("v-")]
+        return sorted(int(n[2:]) for n in names if "_SUCCESS" in names_in(self.spark, f"{self.folder}/{n}"))
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/v-{self._versions()[-1]}")
 
     def replace(self, table: DataFrame) -> None:
-        versions = self._versions()
-        table.write.mode("overwrite").parquet(f"{self.folder}/v-{versions[-1] + 1 if versions else 0}")
+        """The next version; `CommitConflict` if another writer has published one since this began."""
+        version = max(self._versions(), default=-1) + 1
+        aside = f"{self.folder}/.v-{version}-{uuid.uuid4().hex}"
+        table.write.parquet(aside)
+        publish(self.spark, aside, f"{self.folder}/v-{version}")
