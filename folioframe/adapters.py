@@ -161,6 +161,15 @@ SELECT event_id AS seq, CAST(user_id AS STRING) AS ebook,
        CASE WHEN event_type = 'click' THEN 'notify' ELSE 'ww' END AS role,
        CASE WHEN value < 5 THEN NULL WHEN value < 50 THEN concat(' user', CAST(event_id AS STRING), ' ') ELSE concat('u', CAST(event_id AS STRING), '@mail.example.org') END AS email
 FROM {{events}} WHERE event_type IN ('click', 'purchase')""",
+    "v_email_log": """
+SELECT event_id AS seq, CAST(user_id AS STRING) AS ebook, CASE WHEN event_type = 'click' THEN 'notify' ELSE 'ww' END AS role,
+       concat('u', CAST(event_id AS STRING), '@mail.example.org') AS email, value < 30 AS deleted
+FROM {{events}} WHERE event_type IN ('click', 'purchase')""",
+    "v_triggers": """
+SELECT event_id AS id, user_id AS ebook, ts AS time FROM {{events}} WHERE event_type = 'error'""",
+    "v_arrivals": """
+SELECT event_id AS seq, user_id AS ebook, ts AS time, CASE WHEN value < 10 THEN left(json, 40) ELSE json END AS text
+FROM {{events}} JOIN {{v_workflow}} ON ebook = user_id WHERE event_type = 'purchase'""",
     "v_log_lines": """
 SELECT user_id AS log_id, event_id AS line_no,
        concat(CAST(event_id AS STRING), CASE event_type WHEN 'error' THEN ' ERROR ' WHEN 'signup' THEN ' CRITICAL ' ELSE ' INFO ' END,

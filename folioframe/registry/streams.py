@@ -8,6 +8,7 @@ from ..plans import intake
 from ..session import scratch_path
 from ..streaming import changes, spools
 from ..streaming.runner import drain_to_files
+from ..streaming.state import rocksdb_state
 from .base import Entry
 from .metadata import MAIL
 from .outbox import BOOK, critical_sql
@@ -43,15 +44,31 @@ def _submissions(c):
     return _drained(c, stream, "spool")
 
 
+def _matched(c):
+    """Triggers and submissions as two streams over the events they come from."""
+    triggers = c.streaming("events")["v_triggers"]
+    records = intake.workflow_records(c.streaming("events")["v_arrivals"])
+    pairs = _drained(c, spools.with_submissions(triggers, records), "matched")
+    best = spools.best_submissions(pairs)
+    return best.select("id", "ebook", "seq", "valid", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("credit", F.lit("")).alias("credit"))
+
+
+def _settled(c):
+    with rocksdb_state(c.spark):
+        hours = _drained(c, changes.settled_rebuilds(_changes(c)), "rebuild")
+    shown = lambda n: F.date_format(n, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(n)
+    return hours.select("book", shown("first"), shown("last"), "n_changes")
+
+
 def _notices(c):
     folder = scratch_path(c.spark, "notices")
     spools.notices_by_book(_landed(c, c["v_notice_queue"].drop("time"), "notices"), intake.address_book(c["v_emails"]), folder)
     return c.spark.read.parquet(f"{folder}/rows").select("ebook", "message", F.coalesce("email", F.lit("")).alias("email"))
 
 
-def _addresses(c):
+def _addresses(c, view="v_emails"):
     folder = scratch_path(c.spark, "addresses")
-    spools.latest_addresses(c.streaming("events")["v_emails"], folder)
+    spools.latest_addresses(c.streaming("events")[view], folder)
     return spools.current_addresses(c.spark, folder)
 
 
@@ -76,8 +93,17 @@ def _late(c):
 
 ENTRIES: dict[str, Entry] = {
     "stream_changelog_rebuild": Entry(
-        lambda c: _drained(c, changes.hourly_rebuilds(_changes(c)), "rebuild"),
-        f"WITH {CHANGES} SELECT DISTINCT book, {STAMPS.format(HOUR, "hour")} FROM changes WHERE book IS NOT NULL",
+        _settled,
+        f"""WITH RECURSIVE {CHANGES}, markb AS (SELECT date_trunc('millisecond', max(time)) - INTERVAL 1 HOUR AS mark FROM changes WHERE book IS NOT NULL),
+        hours AS (
+          SELECT book, min(time) AS first FROM changes WHERE book IS NOT NULL GROUP BY book
+          UNION ALL SELECT h.book, min(c.time) FROM hours h JOIN changes c ON c.book = h.book AND c.time >= h.first + INTERVAL 1 HOUR GROUP BY h.book)
+        SELECT h.book, strftime(first, '%Y-%m-%d %H:%M:%S.%f') AS first, strftime(max(time), '%Y-%m-%d %H:%M:%S.%f') AS last, CAST(count(*) AS BIGINT) AS n_changes
+        FROM hours h JOIN changes c ON c.book = h.book AND c.time >= first AND c.time < first + INTERVAL 1 HOUR, markb WHERE first + INTERVAL 1 HOUR <= mark GROUP BY h.book, first""",
+    ),
+    "stream_rebuild_once": Entry(
+        lambda c: _drained(c, changes.rebuilds_at_once(_changes(c)).select("book"), "once"),
+        f"WITH {CHANGES} SELECT DISTINCT book FROM changes WHERE book IS NOT NULL",
     ),
     "stream_change_counts": Entry(
         lambda c: _drained(c, changes.change_counts(_changes(c)), "counts"),
@@ -102,13 +128,27 @@ ENTRIES: dict[str, Entry] = {
     ),
     "stream_late_changes": Entry(
         _late,
-        f"WITH {CHANGES} SELECT id, kind FROM changes WHERE kind = 'author_change' AND time < (SELECT max(time) FROM changes WHERE coalesce(kind, '') <> 'author_change') - INTERVAL 1 HOUR",
+        f"WITH {CHANGES} SELECT id, kind FROM changes WHERE kind = 'author_change' AND time <= (SELECT date_trunc('millisecond', max(time)) FROM changes WHERE coalesce(kind, '') <> 'author_change') - INTERVAL 1 HOUR",
     ),
     "stream_trigger_intake": Entry(
         _submissions,
         """SELECT ebook, json_valid(content) AS valid, CASE WHEN json_valid(content) THEN json_extract_string(content, '$.DATA.TITLE') ELSE '' END AS title,
         CASE WHEN json_valid(content) THEN json_extract_string(content, '$.DATA.CREDIT') ELSE '' END AS credit FROM {{v_submissions}} WHERE path LIKE '%.json' AND path NOT LIKE '%/backup/%'""",
     ),
+    "stream_trigger_match": Entry(
+        _matched,
+        """WITH span AS (SELECT (SELECT date_trunc('millisecond', max(time)) FROM {{v_triggers}}) AS t, (SELECT date_trunc('millisecond', max(time)) FROM {{v_arrivals}}) AS s),
+        mark AS (SELECT least(t, s) - INTERVAL 1 HOUR AS mark FROM span),
+        met AS (SELECT t.id, t.ebook, t.time, a.seq, json_valid(a.text) AS valid, CASE WHEN json_valid(a.text) THEN a.text ELSE '{}' END AS text, a.time AS arrived
+          FROM {{v_triggers}} t LEFT JOIN {{v_arrivals}} a ON a.ebook = t.ebook AND a.time BETWEEN t.time - INTERVAL 12 HOUR AND t.time + INTERVAL 12 HOUR),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY valid DESC, arrived DESC, seq DESC) AS rn FROM met)
+        SELECT id, ebook, seq, CASE WHEN seq IS NOT NULL THEN valid END AS valid, coalesce(json_extract_string(text, '$.DATA.TITLE'), '') AS title, coalesce(json_extract_string(text, '$.DATA.CREDIT'), '') AS credit
+        FROM ranked, mark WHERE rn = 1 AND (seq IS NOT NULL OR time + INTERVAL 12 HOUR < mark)""",
+    ),
+    "stream_address_deletes": Entry(
+        lambda c: _addresses(c, "v_email_log"),
+        "SELECT CAST(ebook AS BIGINT) AS ebook, role, arg_max(email, seq) AS email FROM {{v_email_log}} GROUP BY 1, 2 HAVING NOT arg_max(deleted, seq)",
+    ),
     "stream_notices": Entry(
         _notices,
         f"""WITH {BOOK}, n AS (SELECT ebook, string_agg(record, chr(10) ORDER BY id) AS records FROM {{{{v_notice_queue}}}} GROUP BY 1)

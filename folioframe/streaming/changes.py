@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.changes import classify_changelog
 from .runner import drain_batches
+from .state import SettledHours
 
 WATERMARK = "1 hour"
 
@@ -16,10 +17,28 @@ def timed_changes(changelog: DataFrame) -> DataFrame:
     return classify_changelog(changelog).withColumn("time", F.col("time").cast("timestamp"))
 
 
-def hourly_rebuilds(changes: DataFrame) -> DataFrame:
-    """One rebuild per book and hour. The hour is part of the key, so state is dropped behind the watermark."""
-    hours = changes.filter(F.col("book").isNotNull()).select("book", F.date_trunc("hour", "time").alias("hour"))
-    return hours.withWatermark("hour", WATERMARK).dropDuplicates(["book", "hour"])
+def settled_rebuilds(changes: DataFrame) -> DataFrame:
+    """One rebuild per book for all its changes within an hour of the first; the next change after that opens a new hour.
+
+    A rebuild comes out when its hour has settled, so that it covers every change it stands for. To be run inside
+    `rocksdb_state`.
+    """
+    keyed = changes.filter(F.col("book").isNotNull()).select("book", "time", F.unix_micros("time").alias("at")).withWatermark("time", WATERMARK)
+    hours = keyed.groupBy("book").transformWithState(SettledHours(), SettledHours.SCHEMA, "Append", "EventTime")
+    at = lambda c: F.timestamp_micros(c)
+    return hours.select("book", at("first_us").alias("first"), at("last_us").alias("last"), "n_changes")
+
+
+def rebuilds_at_once(changes: DataFrame) -> DataFrame:
+    """A rebuild at the first change seen of a book, and none for what follows within the watermark's delay of it. Quick,
+    but a change that comes after the rebuild and within the delay waits for the book's next one."""
+    keyed = changes.filter(F.col("book").isNotNull()).select("book", "time").withWatermark("time", WATERMARK)
+    return keyed.dropDuplicatesWithinWatermark(["book"])
+
+
+def on_time(changes: DataFrame, delay: str = WATERMARK) -> DataFrame:
+    """Changes that are not behind the watermark, each once; Spark counts the others as dropped."""
+    return changes.withWatermark("time", delay).dropDuplicates(["id", "time"])
 
 
 def change_counts(changes: DataFrame) -> DataFrame:
@@ -49,18 +68,19 @@ def edited_titles(changes: DataFrame, attributes: DataFrame) -> DataFrame:
 def split_late(changes: DataFrame, folder: str, delay: str = WATERMARK) -> None:
     """Keeps changes that come too late for the watermark in a side table instead of losing them.
 
-    A row is late if it is older than the newest time of earlier batches less the delay. Batches
-    are written under their number, so a repeated batch replaces itself.
+    A row is late if Spark would drop it: at or before the newest time of earlier batches, in milliseconds, less the delay. Batches
+    are written under their number, so a repeated batch replaces itself. What came is observed as `changes.n`.
     """
 
     def handle(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        schema = "time TIMESTAMP, batch BIGINT"
-        batch.agg(F.max("time").alias("time"), F.lit(number).cast("bigint").alias("batch")).write.mode("overwrite").parquet(f"{folder}/newest/n={number}")
-        newest = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{folder}/newest")
-        limit = newest.filter(F.col("batch") < number).agg(F.max("time").alias("t")).scalar() - F.expr(f"INTERVAL {delay}")
-        late = F.coalesce(F.col("time") < limit, F.lit(False))
-        marked = batch.withColumn("kept_as", F.when(late, "late").otherwise("on_time"))
-        marked.write.mode("overwrite").partitionBy("kept_as").parquet(f"{folder}/rows/n={number}")
-
-    drain_batches(changes, folder, handle)
+        spark, late = batch.sparkSession, F.lit(False)
+        if number:
+            newest = spark.read.schema("time TIMESTAMP, batch BIGINT").option("recursiveFileLookup", "true").parquet(f"{folder}/newest")
+            limit = newest.filter(F.col("batch") < number).agg(F.date_trunc("millisecond", F.max("time")).alias("t")).scalar() - F.expr(f"INTERVAL {delay}")
+            late = F.coalesce(F.col("time") <= limit, late)
+        marked, path = batch.withColumn("kept_as", F.when(late, "late").otherwise("on_time")), f"{folder}/rows/n={number}"
+        marked.write.mode("overwrite").partitionBy("kept_as").parquet(path)
+        written = spark.read.schema(batch.schema).parquet(path)
+        written.agg(F.max("time").alias("time"), F.lit(number).cast("bigint").alias("batch")).write.mode("overwrite").parquet(f"{folder}/newest/n={number}")
+
+    drain_batches(changes.observe("changes", F.count(F.lit(1)).alias("n")), folder, handle)
