@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
+from ..sinks.commits import delete
 
 #: ASCII white space, the only characters that end a word: x20 and x09 to x0D.
 SPACES = b" \t\n\x0b\x0c\r"
@@ -28,7 +29,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes staged tables that nothing will read any more."""
+    for df in frames:
+        delete(df.sparkSession, df.staged_at)
 
 
 def widened(df: DataFrame, name: str, kind: str) -> T.StructType:

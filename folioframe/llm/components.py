@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discard, staged
 
 #: Edges that one task contracts at a time.
 CHUNK = 1_000_000
@@ -56,13 +56,14 @@ def components(edges: DataFrame) -> DataFrame:
     """
     stars = edges.select("a", "b").mapInArrow(_contract, "a bigint, b bigint")
     both = staged(stars.union(stars.select("b", "a")).distinct(), "component-edges")
-    labels = staged(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("component")), "component-labels")
+    labels = current = staged(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("component")), "component-labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         better = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
         jump = labels.select(F.col("node").alias("component"), F.col("component").alias("far"))
         moved = staged(better.join(jump, "component").select("node", "old", F.least("component", "far").alias("component")), "component-labels")
-        changed = moved.filter("component <> old").limit(1).count()
-        labels = moved.select("node", "component")
-        if not changed:
+        discard(current)
+        current, labels = moved, moved.select("node", "component")
+        if not moved.filter("component <> old").limit(1).count():
+            discard(both)
             return labels

@@ -11,10 +11,10 @@ enumerated below it, list entries scanned above it, both from the measured sizes
 (counted over all texts, batch by batch) come last in the order of prefixes; any order gives the same links, so it may
 rest on a bounded table of the `HOT` most frequent ones.
 
-The members of a list are compared in two rounds. In the first, each meets one pivot of its list, and the links found
-make provisional components. In the second, members of one list that are still apart meet each other, and only pairs
-whose parity bits leave a link open become rows. So a group of near copies makes about as many pairs as it has members,
-and no link between components is lost. Parity bits (the parity of the shingles that fall on each of 1024 places, or of
+The members of a list are compared in rounds. In each, they meet one pivot of their list that they are not yet in one
+component with, and the links found join components, until a round finds none. Then members of one list that are still
+apart meet each other, and only pairs whose parity bits leave a link open become rows. So a group of near copies makes
+about as many pairs a round as it has members, and no link between components is lost. Parity bits (the parity of the shingles that fall on each of 1024 places, or of
 more places for larger sets) never count more differences than there are; pairs that pass are settled by the exact sets.
 
 Nodes are 64-bit hashes of the sorted set. Rows without an id have no component and link with nothing; rows of empty
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import distinct_per_row, mixed, parts, staged, word_shingles
+from .common import discard, distinct_per_row, mixed, parts, staged, word_shingles
 from .components import components
 from .decontamination import WORDS_SQL
 
@@ -187,7 +187,7 @@ def inverted_lists(rows: DataFrame) -> DataFrame:
 
 
 def links(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
-    """Those of the distinct pairs (a, b) that link."""
+    """Those of the distinct pairs (a, b) that link, staged."""
     both = pairs.join(sizes.select("node", "n", "wide").toDF("a", "n_a", "wide_a"), "a").join(sizes.select("node", "n", "wide").toDF("b", "n_b", "wide_b"), "b")
     narrow = F.least(F.size("wide_a"), F.size("wide_b"))
 
@@ -211,13 +211,39 @@ def links(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, owners: DataFrame
     held = staged(held.dropDuplicates(["node"]), "pair-sets")
     full = near.join(held.toDF("a", "members_a"), "a").join(held.toDF("b", "members_b"), "b")
     both = full.select("a", "b", (F.size("members_a") + F.size("members_b")).alias("sum"), F.size(F.array_intersect("members_a", "members_b")).alias("shared"))
-    return both.filter(100 * F.col("shared") >= 80 * (F.col("sum") - F.col("shared"))).select("a", "b")
+    found = staged(both.filter(100 * F.col("shared") >= 80 * (F.col("sum") - F.col("shared"))).select("a", "b"), "links")
+    discard(near, held)
+    return found
 
 
 def _pair(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def _open(x: str, y: str) -> Column:
+    """Whether sizes and parities of two rows leave it open that they link."""
+    differ = reduce(add, (F.bit_count(F.col(f"{x}.p{k}").bitwiseXOR(F.col(f"{y}.p{k}"))) for k in range(WORDS64)))
+    n_x, n_y = F.col(f"{x}.n"), F.col(f"{y}.n")
+    return _close(n_x, n_y) & (9 * differ <= n_x + n_y)
+
+
+def _apart(entries: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries with their component, of the lists whose members are in more than one."""
+    placed = entries.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    open_lists = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
+    return placed.join(open_lists, "key", "left_semi")
+
+
+def _pivot_pairs(placed: DataFrame, turn: int) -> DataFrame:
+    """Pairs of a list's pivot, another one each turn, and the members that are apart from it. Lists that share members
+    tend to share their pivot, as all take the least by one hash."""
+    fields = ["node", "n", "component", "core", *[f"p{k}" for k in range(WORDS64)]]
+    pivots = placed.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("hash"), *fields)).alias("y"))
+    met = placed.select("key", F.struct(*fields).alias("x")).join(pivots, "key")
+    apart = (F.col("x.component") != F.col("y.component")) & (F.col("x.core") | F.col("y.core")) & _open("x", "y")
+    return met.filter(apart).select(*_pair(F.col("x.node"), F.col("y.node"))).distinct()
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id (least doc_id reachable by links) of every row of `docs` (doc_id, text)."""
     rows = staged(described(docs), "shingle-sets")
@@ -228,26 +254,37 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     first = entries.filter((F.col("node") != F.col("pivot")) & _close(F.col("n"), F.col("pivot_n"))).select(*_pair(F.col("node"), F.col("pivot"))).distinct()
     first = staged(first, "pivot-pairs")
-    found = staged(links(first, sizes, docs, owners), "links")
-    provisional = components(found)
-
-    # a list's pivot has met all its members
-    placed = entries.filter("node <> pivot").join(provisional, "node", "left").select("key", "node", "n", "core", F.coalesce("component", "node").alias("component"))
-    open_lists = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
+    found = links(first, sizes, docs, owners)
+    discard(first)
     bits = [F.col("short")[k].alias(f"p{k}") for k in range(WORDS64)]
-    placed = staged(placed.join(open_lists, "key", "left_semi").join(sizes.select("node", *bits), "node"), "open-lists")
+    # a list's pivot has met all its members
+    placed = staged(_apart(entries.filter("node <> pivot").select("key", "node", "n", "core"), components(found)).join(sizes.select("node", *bits), "node"), "open-lists")
+    discard(entries)
+    turn = 0
+    while True:
+        turn += 1
+        pairs = staged(_pivot_pairs(placed, turn), "pivot-pairs")
+        more = links(pairs, sizes, docs, owners)
+        discard(pairs)
+        if not more.limit(1).count():
+            break
+        found = found.union(more)
+        labels, before = components(found), placed
+        placed = staged(_apart(before.drop("component"), labels), "open-lists")
+        discard(before)
+
     x, y = placed.alias("x"), placed.alias("y")
     smaller = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.node") < F.col("y.node")))
-    differ = reduce(add, (F.bit_count(F.col(f"x.p{k}").bitwiseXOR(F.col(f"y.p{k}"))) for k in range(WORDS64)))
-    open_ = smaller & _close(F.col("x.n"), F.col("y.n")) & (9 * differ <= F.col("x.n") + F.col("y.n"))
-    apart = (F.col("x.component") != F.col("y.component")) & F.col("x.core") & open_
-    second = x.join(y, (F.col("x.key") == F.col("y.key")) & apart).select(*_pair(F.col("x.node"), F.col("y.node"))).distinct()
-    more = staged(links(staged(second.join(first, ["a", "b"], "left_anti"), "open-pairs"), sizes, docs, owners), "links")
+    apart = (F.col("x.component") != F.col("y.component")) & F.col("x.core") & smaller & _open("x", "y")
+    rest = staged(x.join(y, (F.col("x.key") == F.col("y.key")) & apart).select(*_pair(F.col("x.node"), F.col("y.node"))).distinct(), "open-pairs")
+    more = links(rest, sizes, docs, owners)
+    discard(placed, rest)
 
     joined = components(found.union(more))
     placed = owners.join(joined, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_node = staged(placed.join(least, "component").select("node", "component_id"), "set-components")
+    discard(owners, sizes)
     result = rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("node")).alias("node")).join(by_node, "node", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component_id", "doc_id"))
     return result.select("doc_id", "n_shingles", component.alias("component_id"))

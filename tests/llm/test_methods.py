@@ -255,6 +255,63 @@ def test_pipeline_keeps_one_of_a_large_group_of_copies(spark, edited):
     assert kept == {*range(40), 100}
 
 
+def test_footer_goes_from_a_site_that_is_mostly_copies(spark):
+    """450 near copies of one page and 50 pages, 20 with a footer: the footer goes, the copies and all else stay."""
+    body = [prose(k, 30) for k in range(500, 510)]
+    copies = [(1000 + k, "\n".join([*body[: k % 10], body[k % 10] + f" edit {k}", *body[k % 10 + 1 :]]), "en", "s", 1) for k in range(450)]
+    pages = [(k, "\n".join([prose(k, 40), prose(9000 + k, 40), *(["all pages of the club"] if k < 20 else [])]), "en", "s", 1) for k in range(50)]
+    found = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, documents(spark, copies + pages), SMALL).collect()}
+    assert found == {i: t.replace("\nall pages of the club", "") for i, t, *_ in copies + pages}
+
+
+def test_groups_below_the_ratio_stay_when_larger_ones_are_counted_once(spark):
+    """Once 300 copies are one page, 20 copies of another are over a tenth of the site; they are found in the next round."""
+    page = lambda a: "\n".join(prose(k, 30) for k in range(a, a + 8))
+    rows = [(k, page(100), "en", "s", 1) for k in range(300)] + [(400 + k, page(200), "en", "s", 1) for k in range(20)]
+    rows += [(500 + k, page(1000 + 10 * k) + "\nfoot", "en", "s", 1) for k in range(30)]
+    found = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, documents(spark, rows), SMALL).collect()}
+    assert found == {i: t.removesuffix("\nfoot") for i, t, *_ in rows}
+
+
+def test_line_dedup_runs_no_python(spark):
+    docs = table(spark, SMALL, "documents")
+    from folioframe.llm.line_dedup import boilerplate_of_copies
+
+    for frame in (boilerplate_of_copies(docs, "source", "text", 0.1, 5), corpus_pipeline.line_dedup(spark, docs, SMALL)):
+        assert not re.search("Python|Arrow|Pandas", frame._jdf.queryExecution().executedPlan().toString())
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_large_group_of_near_copies_is_one_component(spark, parts):
+    """Copies that are each a few edits from a common text, so that many pairs do not link directly."""
+    rng = random.Random(7)
+    base = prose(70, 120).split()
+    texts = []
+    for _ in range(300):
+        words = list(base)
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(120)] = f"new{rng.randint(0, 10**6)}"
+        texts.append(" ".join(words))
+    texts += [prose(900 + k, 60) for k in range(100)]
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            shared = len(a & sets[j])
+            if 100 * shared >= 80 * (len(a) + len(sets[j]) - shared):
+                x, y = sorted((top(i), top(j)))
+                root[y] = x
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(parts)
+    found = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs).collect()}
+    assert found == {i: top(i) for i in range(len(texts))}
+
+
 @pytest.mark.parametrize("copies", [0, 40])
 def test_audit_needs_links_to_pass(copies):
     """Beams on a graph without edges find next to nothing; neither few links nor long lists let the audit pass."""
