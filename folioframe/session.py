@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 _SCRATCH: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def build_session(app: str = "folioframe", master: str | None = None, **conf: str) -> SparkSession:
@@ -26,7 +29,20 @@ def build_session(app: str = "folioframe", master: str | None = None, **conf: st
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    _ship_package(session)
+    return session
+
+
+def _ship_package(spark: SparkSession) -> None:
+    """Gives executors this package, which Python stages, state and feeds need; local ones have it already."""
+    app = spark.sparkContext.applicationId
+    if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local" or app in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='folioframe-')}/{root.name}", "zip", root.parent, root.name)
+    spark.sparkContext.addPyFile(archive)  # the driver serves it
+    _SHIPPED.add(app)
 
 
 def scratch_root(spark: SparkSession) -> str:

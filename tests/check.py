@@ -8,6 +8,7 @@ import sys
 import time
 import traceback
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 
@@ -62,7 +63,7 @@ def compare(spark, queries, oracles, key, sf):
 
 
 def main():
-    sys.path.insert(0, "/root/repo")
+    sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
     from __spark_entry__ import oracle_sql, queries
 
     from folioframe.session import build_session

@@ -3,14 +3,18 @@
 import csv
 import glob
 import gzip
+import json
 import xml.etree.ElementTree as ET
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from folioframe.operators import scans
 from folioframe.plans import build, intake, marc_feed, outbox, reading
 from folioframe.registry import feeds
 from folioframe.sinks import snapshots, writers
+from folioframe.sinks.feed_source import FeedWriter, write_feed
 
 
 def parts(folder):
@@ -58,6 +62,39 @@ def test_marc_binary(spark, catalog, tmp_path):
         assert len(dict(fields)["008"]) == 40
 
 
+def test_a_failed_feed_leaves_nothing(spark, tmp_path):
+    value = F.when(F.col("id") == 77, F.raise_error(F.lit("broken record")).cast("string")).otherwise(F.col("id").cast("string"))
+    with pytest.raises(Exception, match="broken record"):
+        write_feed(spark.range(0, 100, 1, 4).select(value.alias("value")), str(tmp_path / "feed"), "\x1d")
+    seen = lambda: [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")]  # tasks in flight may leave hidden files
+    assert seen() == []
+    write_feed(spark.range(0, 100, 1, 4).select(F.col("id").cast("string").alias("value")), str(tmp_path / "feed"), "\x1d")
+    data = [open(n).read() for n in parts(tmp_path / "feed")]
+    assert sorted("".join(data).split("\x1d")[:-1], key=int) == [str(k) for k in range(100)]
+    manifest = json.loads((tmp_path / "feed" / "_manifest.json").read_text())["parts"]
+    assert [p["n_bytes"] for p in manifest] == [len(d) for d in data] and sum(p["n_records"] for p in manifest) == 100
+    before = {p.name: p.read_bytes() for p in (tmp_path / "feed").iterdir()}
+    with pytest.raises(Exception, match="FileExistsError|feed"):
+        write_feed(spark.range(3).select(F.col("id").cast("string").alias("value")), str(tmp_path / "feed"), "\n")
+    assert {p.name: p.read_bytes() for p in (tmp_path / "feed").iterdir()} == before and seen() == ["feed"]
+
+
+def test_a_repeated_task_counts_once(tmp_path):
+    writer = FeedWriter(str(tmp_path / "feed"), "\n")
+    batch = pa.RecordBatch.from_pydict({"value": ["é", None, "b"]})
+    writer.write(iter([batch]))
+    told = writer.write(iter([batch]))
+    assert (told.n_records, told.n_bytes) == (3, 6)
+    writer.commit([told, None])
+    assert sorted(p.name for p in (tmp_path / "feed").iterdir()) == ["_manifest.json", told.name] and not list(tmp_path.glob(".*"))
+    assert (tmp_path / "feed" / told.name).read_text() == "é\n\nb\n"
+
+
+def test_empty_feed(spark, tmp_path):
+    write_feed(spark.range(0).select(F.col("id").cast("string").alias("value")), str(tmp_path / "feed"), "\n")
+    assert (tmp_path / "feed" / "_manifest.json").exists()
+
+
 def test_marc_oversize_goes_aside(spark):
     field = "struct<code:string,value:string>"
     schema = f"pk bigint, tag string, grp int, ord bigint, ind1 string, ind2 string, data string, subfields array<{field}>"
