@@ -77,16 +77,22 @@ def header_fields(text: Column) -> dict[str, Column]:
     }
 
 
+COMMON_REFERENCES = ("amp", "lt", "gt", "quot", "nbsp", "mdash", "ndash", "ldquo", "rdquo", "lsquo", "rsquo", "hellip", "eacute", "egrave")
+
+
 def html_body_text(html: Column) -> Column:
     """Readable text of a page body: scripts, styles and comments out first (an unclosed one ends with the page), then what
     stands before the first body, then tags; character references decoded last."""
     plain = F.regexp_replace(html, r"(?is)<script.*?(?:</script>|$)|<style.*?(?:</style>|$)|<!--.*?(?:-->|$)", "")
-    body = F.regexp_replace(plain, r"(?is)^(?:(?!<body).)*+<body[^>]*>", "")
+    body = F.when(plain.rlike("(?i)<body[^>]*>"), F.regexp_extract(plain, "(?is)<body[^>]*>(.*)", 1)).otherwise(plain)
     return trimmed(decoded_references(F.regexp_replace(body, r"(?s)<[^>]*>", "")))
 
 
 def decoded_references(text: Column) -> Column:
-    """Numeric and named character references (`&#8217;`, `&#x2014;`, `&eacute;`) as characters, once; unknown ones stay."""
+    """Numeric and named character references (`&#8217;`, `&#x2014;`, `&eacute;`) as characters, once; unknown ones stay.
+
+    Texts without any are passed by, and the few names that make up most references are tried before the long table.
+    """
     names = {name.removesuffix(";"): char for name, char in html5.items() if name.endswith(";")}
     names |= {entity.strip("&;"): char for entity, char in ENTITIES.items()}
     table = F.from_json(F.lit(json.dumps(names)), "map<string,string>")
@@ -96,11 +102,15 @@ def decoded_references(text: Column) -> Column:
         number = F.when(F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, 3, 6), 16, 10)).otherwise(F.substring(name, 2, 7)).try_cast("int")
         sound = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
         point = F.decode(F.unhex(F.lpad(F.hex(F.when(sound, number).otherwise(0xFFFD)), 8, "0")), "UTF-32")
-        char = F.when(name == "", F.lit(None)).when(name.startswith("#"), point).otherwise(F.try_element_at(table, name))
+        char = F.when(name == "", F.lit(None))
+        for common in COMMON_REFERENCES:
+            char = char.when(name == common, names[common])
+        char = char.when(name.startswith("#"), point).otherwise(F.try_element_at(table, name))
         return F.coalesce(F.concat(char, F.substr(part, F.length(name) + 2)), F.concat(F.lit("&"), part))
 
     parts = F.split(text, "&")
-    return F.concat(parts[0], F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), decoded), ""))
+    joined = F.concat(parts[0], F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), decoded), ""))
+    return F.when(text.contains("&"), joined).otherwise(text)
 
 
 def tokens(text: Column) -> Column:

@@ -29,7 +29,7 @@ def _zipped(name: pd.Series, text: pd.Series, bad: pd.Series) -> pd.Series:
         with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
             archive.writestr(f"{n}/{n}-0.txt", t)
             archive.writestr(f"{n}/images/cover.jpg", b"\xff\xd8")
-            archive.writestr(f"{n}/{n}-h.htm", t.upper()[::-1])
+            archive.writestr(f"{n}/{n}-h.htm", f"<html>{t}</html>")
         made.append(b"PK" + t.encode()[:40] if broken else buffer.getvalue())
     return pd.Series(made)
 
@@ -40,13 +40,14 @@ def _archives(c):
 
 
 def _members(c):
-    return src.zip_members(_archives(c)).filter(F.coalesce(F.col("name").endswith(".txt"), F.lit(True))).select(
+    return src.zip_members(_archives(c)).select(
         "fk_books", F.coalesce("name", F.lit("")).alias("name"), F.coalesce(F.sha2("text", 256), F.lit("")).alias("text_hash"), F.coalesce("sort_key", F.lit("")).alias("sort_key"), F.coalesce("problem", F.lit("")).alias("problem")
     )
 
 
-ZIP_SQL = """SELECT fk_books, CASE WHEN lang = 'es' THEN '' ELSE concat(fk_books, '/', fk_books, '-0.txt') END AS name, CASE WHEN lang = 'es' THEN '' ELSE sha256(raw) END AS text_hash,
-CASE WHEN lang = 'es' THEN '' ELSE concat('04 ', fk_books, '/', fk_books, '-0-z') END AS sort_key, CASE WHEN lang = 'es' THEN 'BadZipFile' ELSE '' END AS problem FROM {{v_wrapped_texts}}"""
+ZIP_SQL = """SELECT fk_books, concat(fk_books, '/', fk_books, '-0.txt') AS name, sha256(raw) AS text_hash, concat('04 ', fk_books, '/', fk_books, '-0-z') AS sort_key, '' AS problem FROM {{v_wrapped_texts}} WHERE lang <> 'es'
+UNION ALL SELECT fk_books, concat(fk_books, '/', fk_books, '-h.htm'), sha256(concat('<html>', raw, '</html>')), concat('02 ', fk_books, '/', fk_books, '-h-z'), '' FROM {{v_wrapped_texts}} WHERE lang <> 'es'
+UNION ALL SELECT fk_books, '', '', '', 'BadZipFile' FROM {{v_wrapped_texts}} WHERE lang = 'es'"""
 
 
 def _artifact_listing(c):
@@ -132,9 +133,9 @@ ENTRIES: dict[str, Entry] = {
     ),
     "read_zip_members": Entry(_members, ZIP_SQL),
     "udtf_zip_members": Entry(
-        lambda c: _archives(c).lateralJoin(src.ZipMembers(F.col("content").outer())).select("fk_books", F.coalesce("name", F.lit("")).alias("name"), F.coalesce(F.octet_length("data"), F.lit(-1)).cast("bigint").alias("n_bytes"))
-        .filter(~F.col("name").endswith(".htm")),
+        lambda c: _archives(c).lateralJoin(src.ZipMembers(F.col("content").outer())).select("fk_books", F.coalesce("name", F.lit("")).alias("name"), F.coalesce(F.octet_length("data"), F.lit(-1)).cast("bigint").alias("n_bytes")),
         """SELECT fk_books, concat(fk_books, '/', fk_books, '-0.txt') AS name, CAST(strlen(raw) AS BIGINT) AS n_bytes FROM {{v_wrapped_texts}} WHERE lang <> 'es'
+        UNION ALL SELECT fk_books, concat(fk_books, '/', fk_books, '-h.htm'), CAST(strlen(raw) + 13 AS BIGINT) FROM {{v_wrapped_texts}} WHERE lang <> 'es'
         UNION ALL SELECT fk_books, concat(fk_books, '/images/cover.jpg'), 2 FROM {{v_wrapped_texts}} WHERE lang <> 'es' UNION ALL SELECT fk_books, '', -1 FROM {{v_wrapped_texts}} WHERE lang = 'es'""",
     ),
     "read_workflow_json": Entry(

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from ..fixed_values import BOOKS_PER_DAY, BUILD_ORDER, SOURCE_FAMILIES
 from ..functions import paths
 from ..operators import candidates as cand
-from ..operators import changes, ranking, scans, selection
+from ..operators import changes, ranking, reconcile, scans, selection
+from ..session import scratch_path
+from ..sinks.bucket_store import BucketStore
 from .base import ASOF, EVENTS_ASOF, Entry
 
 STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S')"
@@ -90,9 +92,21 @@ def _on_disk(c):
 
 
 def _selected_ids(c):
-    return c["documents"].select(F.col("n_chars").alias("pk"))
+    """Books with a live file."""
+    return c["v_files"].filter("diskstatus = 0 AND obsoleted = 0").select(F.col("fk_books").alias("pk"))
 
 
+def _audited_again(c):
+    """The second of two audits: some paths have left the listing since the first."""
+    store = BucketStore(c.spark, scratch_path(c.spark, "audit"))
+    reconcile.audit_presence(c["v_files"], _on_disk(c), "/srv/library", store)
+    fewer = changes.full_paths(c["v_disk_listing"].filter(~F.col("archive_path").endswith("77-h.htm")), "/srv/library").select("full_path")
+    found, _ = reconcile.audit_presence(c["v_files"], fewer, "/srv/library", store)
+    return found.select("id", "full_path")
+
+
+LIVE_IDS = "fk_books AS pk FROM {{v_files}} WHERE diskstatus = 0 AND obsoleted = 0"
+
 ENTRIES: dict[str, Entry] = {
     "scan_books": Entry(lambda c: scans.scan_books(c["v_books"]), "SELECT pk FROM {{v_books}} WHERE pk <> 99999"),
     "scan_text_books_range": Entry(
@@ -174,6 +188,11 @@ ENTRIES: dict[str, Entry] = {
         lambda c: changes.missing_files(c["v_files"], _on_disk(c), "/srv/library").select("id", "full_path"),
         f"SELECT id, {RESOLVED} AS full_path FROM {{{{v_files}}}} WHERE diskstatus <> 5 AND {RESOLVED} NOT IN (SELECT {RESOLVED} FROM {{{{v_disk_listing}}}})",
     ),
+    "reconcile_presence": Entry(
+        _audited_again,
+        f"""SELECT id, {RESOLVED} AS full_path FROM {{{{v_files}}}} WHERE diskstatus <> 5
+            AND {RESOLVED} NOT IN (SELECT {RESOLVED} FROM {{{{v_disk_listing}}}} WHERE archive_path NOT LIKE '%77-h.htm')""",
+    ),
     "presence_audit": Entry(
         lambda c: changes.missing_files(
             c["v_files"].join(changes.changed_books(c["v_files"], ASOF, 900), "fk_books", "left_semi"), _on_disk(c), "/srv/library"
@@ -242,11 +261,11 @@ ENTRIES: dict[str, Entry] = {
     ),
     "islands_of_ids": Entry(
         lambda c: ranking.islands_of_ids(_selected_ids(c), "pk"),
-        "WITH ids AS (SELECT DISTINCT n_chars AS pk FROM {{documents}})" + ISLANDS,
+        f"WITH ids AS (SELECT DISTINCT {LIVE_IDS})" + ISLANDS,
     ),
     "chunk_ids": Entry(
         lambda c: ranking.chunk_ids(_selected_ids(c), "pk", 20),
-        "SELECT pk, CAST(floor((row_number() OVER (ORDER BY pk) - 1) / 20) AS BIGINT) AS chunk FROM (SELECT DISTINCT n_chars AS pk FROM {{documents}})",
+        f"SELECT pk, CAST(floor((row_number() OVER (ORDER BY pk) - 1) / 20) AS BIGINT) AS chunk FROM (SELECT DISTINCT {LIVE_IDS})",
     ),
     "bucket_by_day": Entry(
         lambda c: c["v_books"].select("pk", changes.rebuild_day(F.col("pk"), BOOKS_PER_DAY).alias("rebuild_day"), changes.reindex_day(F.col("pk"), BOOKS_PER_DAY).alias("reindex_day")),
