@@ -12,7 +12,7 @@ enumerated below it, list entries scanned above it, both from the measured sizes
 rest on a bounded table of the `HOT` most frequent ones.
 
 The members of a list are compared in rounds. In each, they meet one pivot of their list that they are not yet in one
-component with, and the links found join components, until a round finds none. Then members of one list that are still
+component with, and the links found join components, until a round adds few. Then members of one list that are still
 apart meet each other, and only pairs whose parity bits leave a link open become rows. So a group of near copies makes
 about as many pairs a round as it has members, and no link between components is lost. Parity bits (the parity of the shingles that fall on each of 1024 places, or of
 more places for larger sets) never count more differences than there are; pairs that pass are settled by the exact sets.
@@ -68,9 +68,13 @@ def parity(rows: np.ndarray, hashes: np.ndarray, words: np.ndarray) -> np.ndarra
 
 
 def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles that four texts of a batch hold; one that is frequent anywhere is found in some batch."""
+    """Shingles that four different sets of a batch hold; one that is frequent anywhere is found in some batch. Copies
+    are one node, so what only copies repeat makes no list long and is not counted."""
     for batch in parts(batches, most=12 << 20):
-        hashes = np.sort(sets_of(batch.column("text"))[1])
+        rows, hashes, _, node = sets_of(batch.column("text"))
+        once = np.zeros(len(node), bool)
+        once[np.unique(node, return_index=True)[1]] = True
+        hashes = np.sort(hashes[once[rows]])
         starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
         counts = np.diff(np.concatenate([starts, [len(hashes)]]))
         some = counts >= 4
@@ -260,15 +264,17 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     # a list's pivot has met all its members
     placed = staged(_apart(entries.filter("node <> pivot").select("key", "node", "n", "core"), components(found)).join(sizes.select("node", *bits), "node"), "open-lists")
     discard(entries)
+    total = added = found.count()
     turn = 0
-    while True:
+    while 20 * added > total:  # rounds pay while they add a twentieth of the links; the last comparison misses none
         turn += 1
         pairs = staged(_pivot_pairs(placed, turn), "pivot-pairs")
         more = links(pairs, sizes, docs, owners)
         discard(pairs)
-        if not more.limit(1).count():
+        added = more.count()
+        if not added:
             break
-        found = found.union(more)
+        found, total = found.union(more), total + added
         labels, before = components(found), placed
         placed = staged(_apart(before.drop("component"), labels), "open-lists")
         discard(before)
