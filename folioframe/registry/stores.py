@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import CATALOG_COLUMNS, IMAGE_COLUMNS
+from ..operators.graphs import canonical_blanks, subjects_by_content
 from ..plans import catalog_feed, inventory, outbox
+from ..plans.rdf_feed import parsed_ntriples
 from ..session import scratch_path
 from ..sinks import snapshots, writers
 from ..sinks.bucket_store import BucketStore
@@ -63,12 +65,12 @@ def _iso_back(c):
 
 
 def _rdf_back(c):
+    """The written graph by content, with its blank nodes renamed on the way."""
     folder = scratch_path(c.spark, "rdf")
     writers.write_rdf(feeds.triples(c), folder)
-    line = r'^(?:<([^>]*)>|(_:\S+)) <([^>]*)> (.*) \.$'
-    rows = c.spark.read.text(folder)
-    subject = F.coalesce(F.nullif(F.regexp_extract("value", line, 1), F.lit("")), F.regexp_extract("value", line, 2))
-    return rows.groupBy(F.regexp_extract("value", line, 3).alias("p")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(subject).alias("n_subjects"))
+    other = lambda n: F.when(F.col(n).startswith("_:"), F.concat(F.lit("_:x"), F.reverse(F.col(n)).substr(1, 24))).otherwise(F.col(n))
+    renamed = parsed_ntriples(c.spark.read.text(folder)).withColumns({"s": other("s"), "o": F.when(F.col("o_kind") == "blank", other("o")).otherwise(F.col("o"))})
+    return subjects_by_content(canonical_blanks(renamed))
 
 
 def _rdf_documents_back(c):
@@ -224,6 +226,8 @@ def _forgotten(c) -> DataFrame:
 _SHOWN = {"modified": "strftime(modified, '%Y-%m-%d %H:%M:%S')"}
 KEPT = "(SELECT pk FROM {{v_books}} WHERE rights LIKE 'Copyright%')"
 
+SAID = "concat_ws(chr(9), p, o_kind, datatype, o)"
+
 ENTRIES: dict[str, Entry] = {
     "write_catalog_csv": Entry(_catalog_back, CATALOG_SQL),
     "join_bucketed_relations": Entry(_bucketed_catalog, CATALOG_SQL),
@@ -237,7 +241,11 @@ ENTRIES: dict[str, Entry] = {
         SELECT pk, n_bytes, n_bytes AS stored_bytes, content FROM r""",
     ),
     "write_rdf": Entry(
-        _rdf_back, f"WITH t AS ({TRIPLES_SQL}) SELECT p, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT s) AS BIGINT) AS n_subjects FROM t GROUP BY p"
+        _rdf_back,
+        f"""WITH t AS (SELECT DISTINCT s, p, CAST(o AS VARCHAR) AS o, o_kind, datatype FROM ({TRIPLES_SQL}) x),
+        blank AS (SELECT s AS node, concat('_:c', md5(string_agg({SAID}, chr(10) ORDER BY {SAID}))) AS name FROM t WHERE s LIKE '!_:%' ESCAPE '!' GROUP BY s),
+        c AS (SELECT DISTINCT coalesce(a.name, s) AS s, p, coalesce(b.name, o) AS o, o_kind, datatype FROM t LEFT JOIN blank a ON a.node = s LEFT JOIN blank b ON o_kind = 'blank' AND b.node = o)
+        SELECT s, count(*) AS n, md5(string_agg({SAID}, chr(10) ORDER BY {SAID})) AS content FROM c GROUP BY s""",
     ),
     "write_rdf_documents": Entry(_rdf_documents_back, f"WITH t AS ({TRIPLES_SQL}) SELECT book, CAST(count(*) AS BIGINT) AS n_triples FROM t GROUP BY book"),
     "write_text_bundle": Entry(
