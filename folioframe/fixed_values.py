@@ -187,11 +187,11 @@ BOOKS_PER_DAY = 2600
 LOG_PHRASES = {
     "critical": "CRITICAL",
     "error": "ERROR",
-    "conversionfails": "Failed",
-    "headfoot": "This is an ERROR for white-washed files",
+    "failures": "Failed",
+    "whitewash": "This is an ERROR for white-washed files",
 }
 LOG_CONTEXT_LINES = 2
-CONTEXT_REPORTS = ("headfoot",)
+CONTEXT_REPORTS = ("whitewash",)
 
 # --- fixed values: image log -----------------------------------------------------------------
 IMAGE_LOG_COLUMNS = ("datetime", "src", "img_id", "alt_txt", "rel_url", "in_a_figure")

@@ -18,7 +18,7 @@ def log_hits(lines: DataFrame) -> DataFrame:
     return lines.select("*", F.explode(found).alias("report"))
 
 
-def with_context(lines: DataFrame, report: str = "headfoot", around: int = LOG_CONTEXT_LINES) -> DataFrame:
+def with_context(lines: DataFrame, report: str = "whitewash", around: int = LOG_CONTEXT_LINES) -> DataFrame:
     """Hit lines of a report with `around` lines on each side, overlaps once.
 
     Hits name the line numbers they want; lines join on those, so a long log is never one group.

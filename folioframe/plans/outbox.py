@@ -9,12 +9,6 @@ from ..fixed_values import POST_FROM, POST_TITLE_ROOM
 from ..functions.titles import pretty_title
 from ..profile import DEFAULT, LibraryProfile
 
-PROCESSED_TEXT = "Good news.\n\nBook #{ebook} has been processed and its files are posted at {name}.\n"
-CRITICAL_TEXT = (
-    "Help is needed.\n\nBook #{ebook} has been processed and posted at {name}. There seems to be a critical issue:\n\n"
-    "{records}\n\nThe full log: {site}cache/epub/{ebook}/pg{ebook}.converter.log\n"
-)
-
 
 def post_candidates(books: DataFrame, first_books: dict[str, int] = POST_FROM) -> DataFrame:
     """(book, medium) pairs new enough for the medium."""
@@ -34,9 +28,9 @@ def with_post_text(rows: DataFrame, profile: LibraryProfile = DEFAULT) -> DataFr
     line = {m: pretty_title(F.col("title"), F.col("authors"), room) for m, room in POST_TITLE_ROOM.items()}
     quoted = F.replace(line["Bluesky"], F.lit('"'), F.lit('\\"'))
     text = (
-        F.when(medium == "Bluesky", F.concat(F.lit(f"New #ebook at {profile.name}: "), quoted, F.lit(" "), link))
-        .when(medium == "Mastodon", F.concat(F.lit(f"New #ebook {profile.mastodon_handle}: "), line["Mastodon"], F.lit(" "), link))
-        .otherwise(F.lit(f"This is a free ebook by {profile.name}."))
+        F.when(medium == "Bluesky", F.concat(F.lit(profile.filled(profile.new_book)), quoted, F.lit(" "), link))
+        .when(medium == "Mastodon", F.concat(F.lit(profile.filled(profile.new_book_short)), line["Mastodon"], F.lit(" "), link))
+        .otherwise(F.lit(profile.filled(profile.free_book)))
     )
     made = rows.select("pk", "media", "lang", link.alias("link"), text.alias("message"))
     end = F.when(F.col("media") == "Bluesky", F.octet_length("message"))
@@ -76,11 +70,11 @@ def notice_outbox(
     notices: DataFrame, processed: DataFrame | None, addresses: DataFrame, asof: str, profile: LibraryProfile = DEFAULT
 ) -> DataFrame:
     """Critical notices for the managers; with `processed` also good news for books without one."""
-    message = notice_text(CRITICAL_TEXT, F.col("ebook"), F.col("record"), profile)
+    message = notice_text(profile.critical_text, F.col("ebook"), F.col("record"), profile)
     sent = notices.filter(F.col("record") != "").select("ebook", F.lit("critical").alias("kind"), message.alias("message"))
     if processed is not None:
         good = not_critical(processed, notices)
-        sent = sent.unionByName(good.select("ebook", F.lit("processed").alias("kind"), notice_text(PROCESSED_TEXT, F.col("ebook"), None, profile).alias("message")))
+        sent = sent.unionByName(good.select("ebook", F.lit("processed").alias("kind"), notice_text(profile.processed_text, F.col("ebook"), None, profile).alias("message")))
     addressed = with_address(sent.withColumn("role", F.lit("ww")), addresses)
     subject = F.lit(f"{profile.name} backend notifications")
     return addressed.withColumn("subject", subject).withColumn("time", F.lit(asof).cast("timestamp_ntz"))

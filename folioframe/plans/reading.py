@@ -177,8 +177,8 @@ def _message(role: str, content: Column) -> Column:
 def summary_messages(title: Column, text: Column, limit: int = OPENING_TOKENS, prompts: Prompts = Prompts()) -> Column:
     """Messages that ask for a summary: of the opening of a long text, of a short one as a whole."""
     partial = is_partial(text, limit)
-    scope = F.when(partial, "BOOK BEGINNING").otherwise("BOOK")
-    body = F.concat(F.lit("START OF "), scope, F.lit(": \n"), opening_part(text, limit), F.lit("\nEND OF "), scope)
+    scope = F.when(partial, "Opening of the book").otherwise("The book")
+    body = F.concat(scope, F.lit(", between the marks:\n<<<\n"), opening_part(text, limit), F.lit("\n>>>"))
     ask = F.when(partial, _filled(prompts.opening, title=title)).otherwise(_filled(prompts.whole, title=title))
     return F.array(
         _message("system", F.lit(prompts.system)), _message("user", ask), _message("assistant", F.lit(prompts.reply)), _message("user", body)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import catalog_feed, intake, inventory, outbox
+from ..profile import DEFAULT
 from .base import ASOF, Entry
 from .metadata import MAIL
 
@@ -23,9 +24,9 @@ POSTS = f"""titled AS (
   FROM {{{{v_books}}}} LEFT JOIN {{{{v_titles}}}} ON pk = fk_books),
 posts AS (
   SELECT d.pk, d.media, lang, concat('https://library.example.org/ebooks/', d.pk) AS link,
-    CASE d.media WHEN 'Bluesky' THEN concat('New #ebook at Example Library: ', replace({_cut(216)}, '"', '\\"'), ' https://library.example.org/ebooks/', d.pk)
-      WHEN 'Mastodon' THEN concat('New #ebook @library@social.example: ', {_cut(416)}, ' https://library.example.org/ebooks/', d.pk)
-      ELSE 'This is a free ebook by Example Library.' END AS message
+    CASE d.media WHEN 'Bluesky' THEN concat('Just added to Example Library: ', replace({_cut(216)}, '"', '\\"'), ' https://library.example.org/ebooks/', d.pk)
+      WHEN 'Mastodon' THEN concat('Just added by @library@social.example: ', {_cut(416)}, ' https://library.example.org/ebooks/', d.pk)
+      ELSE 'Example Library gives this book away.' END AS message
   FROM {{0}} d JOIN titled t ON t.pk = d.pk)
 SELECT *, CASE media WHEN 'Bluesky' THEN CAST(strlen(message) AS INTEGER) ELSE -1 END AS byte_end, CASE media WHEN 'Bluesky' THEN CAST(strlen(message) - length(link) AS INTEGER) ELSE -1 END AS byte_start FROM posts"""
 
@@ -43,11 +44,11 @@ def _posts_shown(rows):
 
 
 def critical_sql(ebook: str, record: str) -> str:
-    text = outbox.CRITICAL_TEXT.replace("{name}", "Example Library").replace("{site}", "https://library.example.org/")
+    text = DEFAULT.critical_text.replace("{name}", "Example Library").replace("{site}", "https://library.example.org/")
     return f"replace(replace('{text}', '{{ebook}}', CAST({ebook} AS VARCHAR)), '{{records}}', {record})"
 
 
-PROCESSED_SQL = "replace('" + outbox.PROCESSED_TEXT.replace("{name}", "Example Library") + "', '{ebook}', CAST(pk AS VARCHAR))"
+PROCESSED_SQL = "replace('" + DEFAULT.processed_text.replace("{name}", "Example Library") + "', '{ebook}', CAST(pk AS VARCHAR))"
 BOOK = f"addr AS (SELECT CAST(ebook AS BIGINT) AS ebook, role, arg_max({MAIL.format('email')}, seq) AS email FROM {{{{v_emails}}}} WHERE email IS NOT NULL GROUP BY 1, 2)"
 
 
@@ -73,7 +74,7 @@ def _lines(c):
 
 
 LOGS = "lines AS (SELECT 'converter.log' AS file, line_no + 1 AS line_no, line FROM {{v_log_lines}})"
-REPORTS = "reports(report, phrase) AS (VALUES ('critical', 'CRITICAL'), ('error', 'ERROR'), ('conversionfails', 'Failed'), ('headfoot', 'This is an ERROR for white-washed files'))"
+REPORTS = "reports(report, phrase) AS (VALUES ('critical', 'CRITICAL'), ('error', 'ERROR'), ('failures', 'Failed'), ('whitewash', 'This is an ERROR for white-washed files'))"
 IMAGES = """rows AS (SELECT split_part(split_part(src, 'files/', 2), '/', 1) AS item, img_id, coalesce(alt_txt, '') AS alt_txt, concat('images/p', regexp_extract(rel_url, 'p([0-9]+)', 1), '.jpg') AS img_url, in_a_figure
   FROM {{v_img_log}} WHERE src LIKE '%/files/%')""".replace("split_part(split_part(src, 'files/', 2), '/', 1)", "regexp_extract(src, '/files/([0-9]+)/', 1)")
 
@@ -85,7 +86,7 @@ ENTRIES: dict[str, Entry] = {
     ),
     "post_outbox": Entry(lambda c: _posts_shown(outbox.post_outbox(_titled(c), c["v_posts"], FIRST)), f"WITH {DUE}, {POSTS.replace('{0}', 'due')}"),
     "fn_notice_text": Entry(
-        lambda c: c["v_notice_queue"].select("id", outbox.notice_text(outbox.CRITICAL_TEXT, F.col("ebook"), F.col("record")).alias("message")),
+        lambda c: c["v_notice_queue"].select("id", outbox.notice_text(DEFAULT.critical_text, F.col("ebook"), F.col("record")).alias("message")),
         f"SELECT id, {critical_sql('ebook', 'record')} AS message FROM {{{{v_notice_queue}}}}",
     ),
     "join_notice_address": Entry(

@@ -254,8 +254,8 @@ ENTRIES: dict[str, Entry] = {
     "write_log_reports": Entry(
         _reports_back,
         f"""WITH {box.REPORTS}, marked AS (SELECT line, max(CASE WHEN contains(line, phrase) THEN 1 ELSE 0 END)
-          OVER (PARTITION BY log_id ORDER BY line_no RANGE BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS near FROM {{{{v_log_lines}}}}, reports WHERE report = 'headfoot')
-        SELECT report, line FROM {{{{v_log_lines}}}} JOIN reports ON contains(line, phrase) WHERE report <> 'headfoot' UNION ALL SELECT 'headfoot', line FROM marked WHERE near = 1""",
+          OVER (PARTITION BY log_id ORDER BY line_no RANGE BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS near FROM {{{{v_log_lines}}}}, reports WHERE report = 'whitewash')
+        SELECT report, line FROM {{{{v_log_lines}}}} JOIN reports ON contains(line, phrase) WHERE report <> 'whitewash' UNION ALL SELECT 'whitewash', line FROM marked WHERE near = 1""",
     ),
     "write_image_inventory": Entry(
         _images_back,

@@ -126,7 +126,7 @@ ENTRIES: dict[str, Entry] = {
         SELECT fk_books, 0 AS pos, 'system' AS role, '{_P.system}' AS content FROM parts
         UNION ALL SELECT fk_books, 1, 'user', replace(CASE WHEN partial THEN '{_P.opening}' ELSE '{_P.whole}' END, '{{title}}', concat('Book ', fk_books)) FROM parts
         UNION ALL SELECT fk_books, 2, 'assistant', '{_P.reply}' FROM parts
-        UNION ALL SELECT fk_books, 3, 'user', CASE WHEN partial THEN concat('START OF BOOK BEGINNING: ', chr(10), opening, chr(10), 'END OF BOOK BEGINNING') ELSE concat('START OF BOOK: ', chr(10), text, chr(10), 'END OF BOOK') END FROM parts
+        UNION ALL SELECT fk_books, 3, 'user', concat(CASE WHEN partial THEN 'Opening of the book' ELSE 'The book' END, ', between the marks:', chr(10), '<<<', chr(10), CASE WHEN partial THEN opening ELSE text END, chr(10), '>>>') FROM parts
         UNION ALL SELECT fk_books, 4, 'system', '{_P.check_system}' FROM parts
         UNION ALL SELECT fk_books, 5, 'user', replace(replace('{_P.check}', '{{title}}', concat('Book ', fk_books)), '{{excerpt}}', raw) FROM {{{{v_wrapped_texts}}}}""",
     ),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.submissions import normal_email
 from ..operators.lists import ordered_list
 from ..plans.intake import workflow_records
-from ..plans.outbox import CRITICAL_TEXT, notice_text, with_address
+from ..plans.outbox import notice_text, with_address
 from ..profile import DEFAULT, LibraryProfile
 from ..sinks.snapshots import new_posts
 from ..sources.files import spool_books
@@ -56,7 +56,7 @@ def notices_by_book(notices: DataFrame, addresses: DataFrame, folder: str, profi
 
     def handle(batch: DataFrame, number: int) -> None:
         listed = ordered_list(batch, ["ebook"], "id", "record", "records", "\n")
-        messages = listed.select("ebook", F.lit("ww").alias("role"), notice_text(CRITICAL_TEXT, F.col("ebook"), F.col("records"), profile).alias("message"))
+        messages = listed.select("ebook", F.lit("ww").alias("role"), notice_text(profile.critical_text, F.col("ebook"), F.col("records"), profile).alias("message"))
         with_address(messages, addresses).write.mode("overwrite").parquet(f"{folder}/rows/n={number}")
 
     drain_batches(notices, folder, handle)

@@ -195,7 +195,7 @@ def test_every_decision_occurs(spark, catalog):
     found = {r.decision for r in plan.select("decision").distinct().collect()}
     assert found == {"already_posted", "not_text", "no_source", "too_big", "build", "missing_source", "skip_fresh"}
     reasons = {r.reason for r in plan.select("reason").distinct().collect()}
-    assert {"user requested build", "target out of date", "does not exist", "needs no source"} <= reasons
+    assert {"asked for", "source has changed since", "does not exist", "needs no source"} <= reasons
 
 
 def test_credits(spark):
