@@ -205,8 +205,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def _levelled(x: np.ndarray) -> np.ndarray:
+    """Vectors divided by the power of two of their largest component: exact, and no product overflows or vanishes."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
-    scaled = x / np.abs(x).max(axis=1, keepdims=True)
+    scaled = _levelled(x)
     return scaled / np.sqrt((scaled**2).sum(axis=1, keepdims=True))
 
 
@@ -254,8 +259,10 @@ def shard_links(row: dict, same: bool, threshold: float) -> tuple[np.ndarray, np
     pairs = np.unique(a * len(keys_y) + b)
     a, b = pairs // len(keys_y), pairs % len(keys_y)
     keep = np.zeros(len(a), bool)
+    level_x = _levelled(raw_x)
+    level_y = level_x if same else _levelled(raw_y)
     for k in range(0, len(a), 65536):  # the decision: cosine in double precision
-        x, y = raw_x[a[k : k + 65536]], raw_y[b[k : k + 65536]]
+        x, y = level_x[a[k : k + 65536]], level_y[b[k : k + 65536]]
         keep[k : k + 65536] = (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1))) >= threshold
     a, b = a[keep], b[keep]
     ids = np.concatenate([keys_x[a], keys_y[b]])

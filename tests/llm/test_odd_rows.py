@@ -66,6 +66,13 @@ def test_vectors(spark):
     assert embedding_dedup.near_copies(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e200, 1e-200, 1e308, 5e-324 * 2**20])
+def test_vectors_of_any_magnitude(spark, size):
+    rows = [(1, [size, 0.0, size / 8], 1), (2, [size, size / 16, size / 8], 1), (3, [0.0, size, 0.0], 1), (4, [1.0, 0.0, 0.125], 1), (5, [size, 0.0, size / 8], 1)]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_copies(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")).collect()}
+    assert found == {1: (3, 1), 2: (3, 1), 3: (0, 3), 4: (3, 1), 5: (3, 1)}
+
+
 def test_stages_keep_columns_and_stand_empty_tables(spark, tmp_path):
     folder = str(tmp_path / "tables")
     labels(spark).write.parquet(f"{folder}/labels.parquet")
