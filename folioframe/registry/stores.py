@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed_values import CATALOG_COLUMNS, IMAGE_COLUMNS
-from ..operators.graphs import canonical_blanks, subjects_by_content
-from ..plans import catalog_feed, inventory, outbox
+from ..operators.graphs import canonical_blanks, said, subjects_by_content
+from ..plans import catalog_feed, inventory, outbox, rdf_feed
 from ..plans.rdf_feed import parsed_ntriples
+from ..profile import DEFAULT
 from ..session import scratch_path
 from ..sinks import snapshots, writers
 from ..sinks.bucket_store import BucketStore
@@ -74,10 +75,32 @@ def _rdf_back(c):
 
 
 def _rdf_documents_back(c):
+    """What the written documents say of each subject, read from their XML."""
     folder = scratch_path(c.spark, "rdfxml")
     writers.write_rdf_documents(feeds.triples(c), folder)
     number = F.regexp_extract("name", r"pg([0-9]+)\.rdf$", 1).cast("bigint")
-    return c.spark.read.parquet(folder).select(number.alias("book"), F.regexp_count("document", F.lit("</rdf:Description>")).cast("bigint").alias("n_triples"))
+    pieces = F.regexp_extract_all("document", F.lit("(?s)<rdf:Description (.*?)</rdf:Description>"), 1)
+    part = lambda pattern, k: F.regexp_extract("piece", pattern, k)
+
+    def plain(text):
+        for shown, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+            text = F.replace(text, F.lit(shown), F.lit(sign))
+        return text
+
+    about, tag, target = '^rdf:(about|nodeID)="([^"]*)">', "^[^>]*><([^: ]+):([^ />]+)", '^[^>]*><[^ ]+ rdf:(resource|nodeID)="([^"]*)"/>$'
+    named = lambda how, what: F.when(how == "nodeID", F.concat(F.lit("_:"), what)).otherwise(plain(what))
+    prefix = F.try_element_at(F.create_map(*[F.lit(x) for pair in rdf_feed.name_spaces(DEFAULT).items() for x in pair]), part(tag, 1))
+    literal = plain(part("(?s)^[^>]*><[^>]*>(.*)</[^>]*>$", 1))
+    rows = c.spark.read.parquet(folder).select(number.alias("book"), F.explode(pieces).alias("piece")).select(
+        "book",
+        named(part(about, 1), part(about, 2)).alias("s"),
+        F.concat(prefix, part(tag, 2)).alias("p"),
+        F.when(part(target, 1) == "", literal).otherwise(named(part(target, 1), part(target, 2))).alias("o"),
+        F.when(part(target, 1) == "", "literal").when(part(target, 1) == "nodeID", "blank").otherwise("uri").alias("o_kind"),
+        plain(part('^[^>]*><[^ >]+ rdf:datatype="([^"]*)">', 1)).alias("datatype"),
+    )
+    all_ = F.array_join(F.array_sort(F.collect_list(said("p", "o_kind", "datatype", "o"))), "\n")
+    return rows.groupBy("book", "s").agg(F.count(F.lit(1)).alias("n"), F.md5(all_.cast("binary")).alias("content"))
 
 
 def _bundle_back(c):
@@ -247,7 +270,10 @@ ENTRIES: dict[str, Entry] = {
         c AS (SELECT DISTINCT coalesce(a.name, s) AS s, p, coalesce(b.name, o) AS o, o_kind, datatype FROM t LEFT JOIN blank a ON a.node = s LEFT JOIN blank b ON o_kind = 'blank' AND b.node = o)
         SELECT s, count(*) AS n, md5(string_agg({SAID}, chr(10) ORDER BY {SAID})) AS content FROM c GROUP BY s""",
     ),
-    "write_rdf_documents": Entry(_rdf_documents_back, f"WITH t AS ({TRIPLES_SQL}) SELECT book, CAST(count(*) AS BIGINT) AS n_triples FROM t GROUP BY book"),
+    "write_rdf_documents": Entry(
+        _rdf_documents_back,
+        f"WITH t AS (SELECT book, s, p, CAST(o AS VARCHAR) AS o, o_kind, datatype FROM ({TRIPLES_SQL}) x) SELECT book, s, count(*) AS n, md5(string_agg({SAID}, chr(10) ORDER BY {SAID})) AS content FROM t GROUP BY book, s",
+    ),
     "write_text_bundle": Entry(
         _bundle_back, "SELECT concat('cache/epub/', fk_books, '/pg', fk_books, '.txt') AS name, CAST(strlen(text) AS BIGINT) AS n_bytes, sha256(text) AS hash FROM {{v_texts}}"
     ),
