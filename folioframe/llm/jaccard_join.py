@@ -176,18 +176,18 @@ def _close(a: Column, b: Column) -> Column:
 
 
 def inverted_lists(rows: DataFrame) -> DataFrame:
-    """Entries (key, node, n, core, pivot) of all lists with two members at least. `core` marks keys within the shorter
-    prefix that suffices for the smaller set of a pair."""
+    """Entries (key, node, n, place, core, pivot) of all lists with two members at least. `place` is that of the key among
+    a set's shingles, `core` marks keys within the shorter prefix that suffices for the smaller set of a pair."""
     small = staged(rows.filter(F.col("n") <= LIGHT).select("node", "n", "prefix", "light").dropDuplicates(["node"]), "light-sets")
     boundary = choose_boundary(small)
     nodes = rows.filter(5 * F.col("n") >= 4 * (boundary + 1)).select("node", "n", "prefix").dropDuplicates(["node"])
     place = F.col("place") < F.col("n") - F.ceil(8 * F.col("n") / 9) + 1
-    heavy = nodes.select("node", "n", F.posexplode("prefix").alias("place", "key")).select("key", "node", "n", place.alias("core"))
-    light = subset_keys(small, boundary).withColumn("core", F.lit(True))
+    heavy = nodes.select("node", "n", F.posexplode("prefix").alias("place", "key")).select("key", "node", "n", "place", place.alias("core"))
+    light = subset_keys(small, boundary).withColumns({"place": F.lit(0), "core": F.lit(True)})
     whole = Window.partitionBy("key")
-    entries = heavy.union(light.select("key", "node", "n", "core"))
+    entries = heavy.union(light.select("key", "node", "n", "place", "core"))
     entries = entries.withColumn("members", F.count("*").over(whole)).withColumn("pivot", F.min(F.struct(F.xxhash64("node"), "node", "n")).over(whole))
-    return entries.filter("members > 1").select("key", "node", "n", "core", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
+    return entries.filter("members > 1").select("key", "node", "n", "place", "core", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
 
 
 def links(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
@@ -225,10 +225,12 @@ def _pair(a: Column, b: Column) -> list[Column]:
 
 
 def _open(x: str, y: str) -> Column:
-    """Whether sizes and parities of two rows leave it open that they link."""
+    """Whether sizes, parities and places of two rows leave it open that they link: before the first shingle that both
+    sets hold, in the order of all, a set has no more shingles than it may lack in the other."""
     differ = reduce(add, (F.bit_count(F.col(f"{x}.p{k}").bitwiseXOR(F.col(f"{y}.p{k}"))) for k in range(WORDS64)))
     n_x, n_y = F.col(f"{x}.n"), F.col(f"{y}.n")
-    return _close(n_x, n_y) & (9 * differ <= n_x + n_y)
+    early = (9 * (n_x - F.col(f"{x}.place")) >= 4 * (n_x + n_y)) & (9 * (n_y - F.col(f"{y}.place")) >= 4 * (n_x + n_y))
+    return _close(n_x, n_y) & early & (9 * differ <= n_x + n_y)
 
 
 def _apart(entries: DataFrame, labels: DataFrame) -> DataFrame:
@@ -241,7 +243,7 @@ def _apart(entries: DataFrame, labels: DataFrame) -> DataFrame:
 def _pivot_pairs(placed: DataFrame, turn: int) -> DataFrame:
     """Pairs of a list's pivot, another one each turn, and the members that are apart from it. Lists that share members
     tend to share their pivot, as all take the least by one hash."""
-    fields = ["node", "n", "component", "core", *[f"p{k}" for k in range(WORDS64)]]
+    fields = ["node", "n", "place", "component", "core", *[f"p{k}" for k in range(WORDS64)]]
     pivots = placed.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("hash"), *fields)).alias("y"))
     met = placed.select("key", F.struct(*fields).alias("x")).join(pivots, "key")
     apart = (F.col("x.component") != F.col("y.component")) & (F.col("x.core") | F.col("y.core")) & _open("x", "y")
@@ -262,7 +264,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     discard(first)
     bits = [F.col("short")[k].alias(f"p{k}") for k in range(WORDS64)]
     # a list's pivot has met all its members
-    placed = staged(_apart(entries.filter("node <> pivot").select("key", "node", "n", "core"), components(found)).join(sizes.select("node", *bits), "node"), "open-lists")
+    placed = staged(_apart(entries.filter("node <> pivot").select("key", "node", "n", "place", "core"), components(found)).join(sizes.select("node", *bits), "node"), "open-lists")
     discard(entries)
     total = added = found.count()
     turn = 0
