@@ -168,7 +168,8 @@ def _attribute_changes(c):
     return c["v_books"].select(F.col("pk").alias("fk_books"), text.alias("text"))
 
 
-BUCKETS = 16
+BUCKETS = 16  # at least
+BUCKET_KEYS = 100_000
 BOOK_TABLES = {
     "books": ("v_books", "pk"),
     "files": ("v_files", "fk_books"),
@@ -179,13 +180,18 @@ BOOK_TABLES = {
 }
 
 
+def _buckets(keys: DataFrame) -> int:
+    """Buckets for a key with that many values: a bucket is written and read by one task, so it must not grow with the table."""
+    return max(BUCKETS, -(-keys.count() // BUCKET_KEYS))
+
+
 def _store(c, *names: str) -> BucketStore:
     """A store with tables of the catalog, bucketed on the book."""
     store = BucketStore(c.spark, scratch_path(c.spark, "store"))
-    change = store.begin()
+    change, buckets = store.begin(), _buckets(c["v_books"])
     for name in names:
         view, key = BOOK_TABLES[name]
-        change.create(name, c[view], key, BUCKETS)
+        change.create(name, c[view], key, buckets)
     change.commit()
     return store
 
@@ -218,7 +224,7 @@ def _files_after_scan(c):
     """Files of scanned and retired paths change, in the buckets of those paths."""
     store = BucketStore(c.spark, scratch_path(c.spark, "files"))
     change = store.begin()
-    change.create("files", c["v_files"], "archive_path", BUCKETS)
+    change.create("files", c["v_files"], "archive_path", _buckets(c["v_books"]))
     change.commit()
     change, scanned, retired = store.begin(), _scanned(c), _retired(c)
     paths = scanned.select("archive_path").unionByName(retired)
