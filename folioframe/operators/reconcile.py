@@ -36,6 +36,12 @@ def changed_buckets(now: DataFrame, before: DataFrame) -> list[int]:
     return sorted(r.bucket for r in odd.select("bucket").distinct().collect())
 
 
+def _marks(touched: list[int], buckets: int) -> list[bool]:
+    """For each bucket whether it is touched: one look-up a row, however many are."""
+    wanted = set(touched)
+    return [b in wanted for b in range(buckets)]
+
+
 def audit_presence(files: DataFrame, listing: DataFrame, public_dir: str, store: BucketStore, buckets: int = BUCKETS) -> tuple[DataFrame, list[int]]:
     """Files not yet marked missing whose full path the listing lacks (all columns of `files` and full_path), and the
     buckets that had to be compared. `listing` has full_path."""
@@ -49,12 +55,14 @@ def audit_presence(files: DataFrame, listing: DataFrame, public_dir: str, store:
         touched = changed_buckets(fresh, change.read("digests"))
     else:
         touched = sorted(r.bucket for r in fresh.select("bucket").distinct().collect())
-    here = bucket_of(F.col("full_path"), buckets).isin(touched)
+    some = len(touched) < buckets  # where all are compared no bucket need be looked up, nor a path made again for it
+    here = F.get(F.lit(_marks(touched, buckets)), bucket_of(F.col("full_path"), buckets)) if some else F.lit(True)
     again = missing_files(files, listing.filter(here), public_dir).filter(here)
     again = again.select(*known.columns)
     if "missing" not in change.tables:
         change.create("missing", again, "full_path", 16)
     elif touched:
-        change.create("missing", change.read("missing").filter(~here).unionByName(again), "full_path", 16)
+        kept = change.read("missing").filter(~here) if some else change.read("missing").limit(0)
+        change.create("missing", kept.unionByName(again), "full_path", 16)
     change.commit()
     return store.read("missing"), touched
