@@ -11,11 +11,13 @@ enumerated below it, list entries scanned above it, both from the measured sizes
 (counted over all texts, batch by batch) come last in the order of prefixes; any order gives the same links, so it may
 rest on a bounded table of the `HOT` most frequent ones.
 
-The members of a list are compared in rounds. In each, they meet one pivot of their list that they are not yet in one
-component with, and the links found join components, until a round adds few. Then members of one list that are still
-apart meet each other, and only pairs whose parity bits leave a link open become rows. So a group of near copies makes
-about as many pairs a round as it has members, and no link between components is lost. Parity bits (the parity of the shingles that fall on each of 1024 places, or of
-more places for larger sets) never count more differences than there are; pairs that pass are settled by the exact sets.
+The members of a list are compared in rounds. In each, they meet some pivots of their list, `GROWTH` times as many as in
+the round before, as far as they are not yet in one component with them; only pairs whose parity bits leave a link open
+become rows, and the links found join components. So a group of near copies makes about as many pairs as it needs to be
+joined, however many of its pairs link, and once all members of a list have been pivots no link between components is lost.
+Parity bits (the parity of the shingles that fall on each of 1024 places, or of more places for larger sets) never count
+more differences than there are; pairs that pass are settled by the exact sets, made anew where the texts lie: a bitmap of
+fixed size tells there which texts are wanted (and some that are not), so no text is shuffled.
 
 Nodes are 64-bit hashes of the sorted set. Rows without an id have no component and link with nothing; rows of empty
 sets are alone. Repeated rows are one node. Columns beside doc_id and text are not read.
@@ -42,6 +44,9 @@ WIDTH = 5
 HOT = 1 << 17
 LIGHT = 12  # greatest boundary that is considered
 WORDS64 = 16  # words of the short parity of a set, and least words of the wide one
+GROWTH = 16  # pivots of a list in a round, as a multiple of those in the round before
+FEW = 32  # comparisons for each entry of the open lists, up to which all are made in one round
+MARKS = 1 << 19  # words of the bitmap of wanted texts
 _SET = "doc_id {id}, node bigint, n bigint, short array<bigint>, wide array<bigint>, prefix array<bigint>, light array<bigint>"
 
 
@@ -105,7 +110,9 @@ def described(docs: DataFrame) -> DataFrame:
             count = batch.num_rows
             short = parity(rows, hashes, np.full(count, WORDS64))
             words = WORDS64 << np.maximum(np.ceil(np.log2(np.maximum(n, 1) / (64 * WORDS64))), 0).astype(np.int64)
-            wide = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(words)]), pa.int32()), pa.array(parity(rows, hashes, words)))
+            words = np.where(words > WORDS64, words, 0)  # none where the short parity says the same
+            large = words[rows] > 0
+            wide = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(words)]), pa.int32()), pa.array(parity(rows[large], hashes[large], words)))
             level = np.zeros(len(hashes), np.int64)
             if len(known) and len(hashes):
                 place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
@@ -175,24 +182,36 @@ def _close(a: Column, b: Column) -> Column:
     return (5 * F.least(a, b)) >= (4 * F.greatest(a, b))
 
 
-def inverted_lists(rows: DataFrame) -> DataFrame:
-    """Entries (key, node, n, place, core, pivot) of all lists with two members at least. `place` is that of the key among
-    a set's shingles, `core` marks keys within the shorter prefix that suffices for the smaller set of a pair."""
-    small = staged(rows.filter(F.col("n") <= LIGHT).select("node", "n", "prefix", "light").dropDuplicates(["node"]), "light-sets")
+def inverted_lists(nodes: DataFrame) -> DataFrame:
+    """Entries (key, node, n, place, core, members, turn, pivot) of all lists with two members at least. `place` is that of
+    the key among a set's shingles, `core` marks keys within the shorter prefix that suffices for the smaller set of a pair.
+    Members take their turn as pivots in the order of one hash, so lists that share members tend to share pivots."""
+    small = staged(nodes.filter(F.col("n") <= LIGHT).select("node", "n", "prefix", "light"), "light-sets")
     boundary = choose_boundary(small)
-    nodes = rows.filter(5 * F.col("n") >= 4 * (boundary + 1)).select("node", "n", "prefix").dropDuplicates(["node"])
     place = F.col("place") < F.col("n") - F.ceil(8 * F.col("n") / 9) + 1
-    heavy = nodes.select("node", "n", F.posexplode("prefix").alias("place", "key")).select("key", "node", "n", "place", place.alias("core"))
+    heavy = nodes.filter(5 * F.col("n") >= 4 * (boundary + 1)).select("node", "n", F.posexplode("prefix").alias("place", "key")).select("key", "node", "n", "place", place.alias("core"))
     light = subset_keys(small, boundary).withColumns({"place": F.lit(0), "core": F.lit(True)})
     whole = Window.partitionBy("key")
     entries = heavy.union(light.select("key", "node", "n", "place", "core"))
-    entries = entries.withColumn("members", F.count("*").over(whole)).withColumn("pivot", F.min(F.struct(F.xxhash64("node"), "node", "n")).over(whole))
-    return entries.filter("members > 1").select("key", "node", "n", "place", "core", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
+    entries = entries.withColumn("members", F.count("*").over(whole)).filter("members > 1").withColumn("hash", F.xxhash64("node"))
+    ordered = whole.orderBy("hash", "node")
+    entries = entries.withColumns({"turn": F.row_number().over(ordered) - 1, "pivot": F.first("node").over(ordered), "pivot_n": F.first("n").over(ordered)})
+    return entries.drop("hash")
+
+
+def marked(keys: DataFrame) -> np.ndarray:
+    """Bitmap of `MARKS` words with a bit for each hash in the column h."""
+    bit = F.bit_or(F.expr("shiftleft(1L, cast(shiftright(h, 40) & 63 as int))"))
+    found = keys.groupBy(F.col("h").bitwiseAND(F.lit(MARKS - 1)).alias("place")).agg(bit.alias("bits")).toArrow()
+    table = np.zeros(MARKS, np.int64)
+    table[found.column("place").to_numpy()] = found.column("bits").to_numpy()
+    return table.view(np.uint64)
 
 
 def links(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
     """Those of the distinct pairs (a, b) that link, staged."""
-    both = pairs.join(sizes.select("node", "n", "wide").toDF("a", "n_a", "wide_a"), "a").join(sizes.select("node", "n", "wide").toDF("b", "n_b", "wide_b"), "b")
+    known = sizes.select("node", "n", F.when(F.size("wide") > 0, F.col("wide")).otherwise(F.col("short")))
+    both = pairs.join(known.toDF("a", "n_a", "wide_a"), "a").join(known.toDF("b", "n_b", "wide_b"), "b")
     narrow = F.least(F.size("wide_a"), F.size("wide_b"))
 
     def folded(bits: str) -> Column:  # the wider of two parities has at most twice the words
@@ -202,17 +221,26 @@ def links(pairs: DataFrame, sizes: DataFrame, docs: DataFrame, owners: DataFrame
     apart = F.aggregate(F.zip_with(folded("wide_a"), folded("wide_b"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     near = staged(both.filter(_close(F.col("n_a"), F.col("n_b")) & (9 * apart <= F.col("n_a") + F.col("n_b"))).select("a", "b"), "near-pairs")
     wanted = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    ids = owners.join(wanted, "node", "left_semi").select("doc_id")
+    shared = docs.sparkSession.sparkContext.broadcast(marked(owners.join(wanted, "node", "left_semi").select(F.xxhash64("doc_id").alias("h"))))
+    if not shared.value.any():
+        return near
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch.column("h").to_numpy().view(np.uint64)
+            bits = shared.value[h & np.uint64(MARKS - 1)] >> (h >> np.uint64(40) & np.uint64(63))
+            yield batch.filter(pa.array(bits & np.uint64(1) == 1))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts(batches):
+        for batch in parts(chosen(batches)):
             _, hashes, n, node = sets_of(batch.column("text"))
             members = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(hashes.view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(node), members], ["node", "members"])
 
-    plain = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(ids, "doc_id", "left_semi")
-    held = plain.select("text").mapInArrow(sets, "node bigint, members array<bigint>").join(wanted, "node", "left_semi")
+    plain = docs.filter(F.col("doc_id").isNotNull()).select(F.xxhash64("doc_id").alias("h"), F.col("text").cast("string").alias("text"))
+    held = plain.mapInArrow(sets, "node bigint, members array<bigint>").join(wanted, "node", "left_semi")
     held = staged(held.dropDuplicates(["node"]), "pair-sets")
+    shared.destroy()
     full = near.join(held.toDF("a", "members_a"), "a").join(held.toDF("b", "members_b"), "b")
     both = full.select("a", "b", (F.size("members_a") + F.size("members_b")).alias("sum"), F.size(F.array_intersect("members_a", "members_b")).alias("shared"))
     found = staged(both.filter(100 * F.col("shared") >= 80 * (F.col("sum") - F.col("shared"))).select("a", "b"), "links")
@@ -235,60 +263,57 @@ def _open(x: str, y: str) -> Column:
 
 def _apart(entries: DataFrame, labels: DataFrame) -> DataFrame:
     """Entries with their component, of the lists whose members are in more than one."""
+    whole = Window.partitionBy("key")
     placed = entries.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_lists = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
-    return placed.join(open_lists, "key", "left_semi")
+    return placed.withColumns({"low": F.min("component").over(whole), "high": F.max("component").over(whole)}).filter("low <> high").drop("low", "high")
 
 
-def _pivot_pairs(placed: DataFrame, turn: int) -> DataFrame:
-    """Pairs of a list's pivot, another one each turn, and the members that are apart from it. Lists that share members
-    tend to share their pivot, as all take the least by one hash."""
-    fields = ["node", "n", "place", "component", "core", *[f"p{k}" for k in range(WORDS64)]]
-    pivots = placed.groupBy("key").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("hash"), *fields)).alias("y"))
-    met = placed.select("key", F.struct(*fields).alias("x")).join(pivots, "key")
-    apart = (F.col("x.component") != F.col("y.component")) & (F.col("x.core") | F.col("y.core")) & _open("x", "y")
-    return met.filter(apart).select(*_pair(F.col("x.node"), F.col("y.node"))).distinct()
+def _pivot_pairs(placed: DataFrame, sizes: DataFrame, least: int, most: int) -> DataFrame:
+    """Open pairs of a list's pivots, those whose turn is from `least` to below `most`, and the members with a later turn
+    that are apart from them."""
+    bits = sizes.select("node", *(F.col("short")[k].alias(f"p{k}") for k in range(WORDS64)))
+    x = placed.join(bits, "node").alias("x")
+    y = placed.filter((F.col("turn") >= least) & (F.col("turn") < most)).join(bits, "node").alias("y")
+    smaller = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.node") < F.col("y.node")))
+    core = F.when(smaller, F.col("x.core")).otherwise(F.col("y.core"))
+    apart = (F.col("x.component") != F.col("y.component")) & (F.col("x.turn") > F.col("y.turn")) & core & _open("x", "y")
+    return x.join(y, (F.col("x.key") == F.col("y.key")) & apart).select(*_pair(F.col("x.node"), F.col("y.node"))).distinct()
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id (least doc_id reachable by links) of every row of `docs` (doc_id, text)."""
-    rows = staged(described(docs), "shingle-sets")
-    owned = rows.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
+    whole = staged(described(docs), "shingle-sets")
+    owned = whole.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     owners = staged(owned.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "set-owners")
-    entries = staged(inverted_lists(owned), "inverted-lists")
-    sizes = staged(owned.select("node", "n", "short", "wide").dropDuplicates(["node"]), "set-sizes")
+    sizes = staged(owned.drop("doc_id").dropDuplicates(["node"]), "sets")
+    rows = staged(whole.select("doc_id", "node", "n"), "document-sets")
+    discard(whole)
+    entries = staged(inverted_lists(sizes), "inverted-lists")
 
-    first = entries.filter((F.col("node") != F.col("pivot")) & _close(F.col("n"), F.col("pivot_n"))).select(*_pair(F.col("node"), F.col("pivot"))).distinct()
+    first = entries.filter((F.col("turn") > 0) & _close(F.col("n"), F.col("pivot_n"))).select(*_pair(F.col("node"), F.col("pivot"))).distinct()
     first = staged(first, "pivot-pairs")
     found = links(first, sizes, docs, owners)
     discard(first)
-    bits = [F.col("short")[k].alias(f"p{k}") for k in range(WORDS64)]
-    # a list's pivot has met all its members
-    placed = staged(_apart(entries.filter("node <> pivot").select("key", "node", "n", "place", "core"), components(found)).join(sizes.select("node", *bits), "node"), "open-lists")
-    discard(entries)
-    total = added = found.count()
-    turn = 0
-    while 20 * added > total:  # rounds pay while they add a twentieth of the links; the last comparison misses none
-        turn += 1
-        pairs = staged(_pivot_pairs(placed, turn), "pivot-pairs")
+    joined = components(found)
+    left = entries.drop("pivot", "pivot_n").filter("members > 2")  # a list's first pivot has met all its members
+    before, least, most = entries, 1, GROWTH
+    while True:
+        placed = staged(_apart(left, joined), "open-lists")
+        discard(before)
+        after = F.col("members") - least
+        rest = placed.filter(f"turn >= {least}").agg(F.sum(after / 2).alias("pairs"), F.count("*").alias("entries"), F.max("members").alias("members")).first()
+        if not rest["entries"]:
+            break
+        if rest["pairs"] <= FEW * rest["entries"]:
+            most = rest["members"]
+        pairs = staged(_pivot_pairs(placed, sizes, least, most), "pivot-pairs")
         more = links(pairs, sizes, docs, owners)
         discard(pairs)
-        added = more.count()
-        if not added:
-            break
-        found, total = found.union(more), total + added
-        labels, before = components(found), placed
-        placed = staged(_apart(before.drop("component"), labels), "open-lists")
-        discard(before)
-
-    x, y = placed.alias("x"), placed.alias("y")
-    smaller = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.node") < F.col("y.node")))
-    apart = (F.col("x.component") != F.col("y.component")) & F.col("x.core") & smaller & _open("x", "y")
-    rest = staged(x.join(y, (F.col("x.key") == F.col("y.key")) & apart).select(*_pair(F.col("x.node"), F.col("y.node"))).distinct(), "open-pairs")
-    more = links(rest, sizes, docs, owners)
-    discard(placed, rest)
+        if more.limit(1).count():
+            joined = components(joined.filter("node <> component").toDF("a", "b").union(more))
+        left, before, least, most = placed.drop("component").filter(F.col("members") > most), placed, most, most * GROWTH
+    discard(placed)
 
-    joined = components(found.union(more))
     placed = owners.join(joined, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     least = placed.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_node = staged(placed.join(least, "component").select("node", "component_id"), "set-components")
